@@ -33,7 +33,7 @@ from tidemark.llm.tokens import tokenizer_path
 
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 1 << 21
-ROUNDS = 2
+ROUNDS = 3
 #: Words longer than this many bytes take the recursion one by one.
 LONG = 64
 #: What each piece has beside its expected count.
