@@ -176,6 +176,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     return printed.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of each group of linked documents: that with the smallest id, all columns kept.
+
+    Of rows that repeat that id with one text one stays (with other texts they are in groups of their
+    own or go with this one); a group without any id keeps its rows without id once for each text.
+    """
+    group = near_duplicates(docs, radius).where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_kept")).count()
+    group = materialise(group, "simhash-kept")
+    chosen = docs.join(group.select("_kept"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    # Texts are dealt out once more only if ids do repeat.
+    return chosen if group.where("count > 1").isEmpty() else chosen.dropDuplicates(["doc_id", "text"])
+
+
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs)
