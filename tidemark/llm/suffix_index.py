@@ -43,9 +43,9 @@ SHARD_BYTES = 16 << 20
 CHUNK_CHARS = 6_000_000
 SLICE = 1_000_000
 #: Windows of a batch, the smallest level.
-BATCH_WINDOWS = 2_000_000
+BATCH_WINDOWS = 500_000
 #: Documents and characters of each that the sample for common strings takes at most.
-SAMPLE_DOCS, SAMPLE_CHARS, COMMON_SHARE = 1_000, 20_000, 0.02
+SAMPLE_DOCS, SAMPLE_CHARS, COMMON_SHARE = 400, 8_000, 0.02
 LAST_ID = (1 << 63) - 1
 _COMMON_BITS = 20
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -108,7 +108,14 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
 def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The bytes of the runs, one after another."""
     ends = np.cumsum(sizes)
-    return data[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    shift, at = starts - (ends - sizes), 0
+    while at < len(starts):  # an index takes eight times the bytes: a part at a time
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE)))
+        a, b = int(ends[at] - sizes[at]), int(ends[upto - 1])
+        out[a:b] = data[np.repeat(shift[at:upto], sizes[at:upto]) + np.arange(a, b)]
+        at = upto
+    return out
 
 
 @dataclass
@@ -374,15 +381,20 @@ def _indexed(buckets: int, batch_windows: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() == 1:
             return table
-        parts = []
-        for body in table.column("body"):
+        def read(body: pa.Scalar) -> Runs:
             mini, docs, number, pos, windows, twice, data = _unpacked(body.as_py())
             sizes = windows.astype(np.int64) + LENGTH - 1
-            parts.append(Runs(mini, docs[number, 0], docs[number, 1], pos.astype(np.int64), windows.astype(np.int64), np.unpackbits(twice, count=len(mini)).astype(bool), np.cumsum(sizes) - sizes, np.frombuffer(data, np.uint8)))
-        runs = joined(parts)
+            return Runs(mini, docs[number, 0], docs[number, 1], pos.astype(np.int64), windows.astype(np.int64), np.unpackbits(twice, count=len(mini)).astype(bool), np.cumsum(sizes) - sizes, np.frombuffer(data, np.uint8))
+
         # Only minimizers that come up again, or stand twice in a run, need an index.
-        values, counts = np.unique(runs.mini, return_counts=True)
-        runs = runs.take(np.flatnonzero(runs.twice | np.isin(runs.mini, values[counts > 1])), compact=True)
+        bodies = table.column("body")
+        values, counts = np.unique(np.concatenate([_unpacked(x.as_py())[0] for x in bodies]), return_counts=True)
+        again, parts = values[counts > 1], []
+        for body in bodies:
+            some = read(body)
+            parts.append(some.take(np.flatnonzero(some.twice | np.isin(some.mini, again)), compact=True))
+        runs = joined(parts)
+        del parts
         order = np.lexsort((runs.pos, runs.sig, runs.doc))
         # Rows that repeat, from several tasks: one copy.
         if len(order):
@@ -403,17 +415,18 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def _cut(with_text: bool):
-    def run(key: tuple, docs: pa.Table, spans: pa.Table) -> pa.Table:
-        found = [_unpacked(x.as_py()) for x in spans.column("body")]
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        found = [_unpacked(x.as_py()) for k, x in zip(table.column("kind").to_pylist(), table.column("body")) if k == 1]
         doc, sig, a, b = (np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64) for i in range(4))
         order = np.lexsort((a, sig, doc))
         doc, sig, a, b = doc[order], sig[order], a[order], b[order]
         cut = np.flatnonzero((np.diff(doc) != 0) | (np.diff(sig) != 0)) + 1
         first = np.concatenate([[0], cut]) if len(doc) else cut
         where = {(int(doc[i]), int(sig[i])): (int(i), int(j)) for i, j in zip(first, np.append(first[1:], len(doc)))}
+        docs = (row for k, x in zip(table.column("kind").to_pylist(), table.column("body")) if k == 2 for row in zip(*_unpacked(x.as_py())))
         rows = []
-        for d, text, check in zip(docs.column("doc_id").to_pylist(), docs.column("text"), docs.column("sig").to_pylist()):
-            body, runs = text.as_buffer().to_pybytes(), []
+        for d, check, body in docs:
+            runs = []
             if spot := where.get((LAST_ID if d is None else d, check)):
                 for x, y in zip(a[spot[0] : spot[1]].tolist(), b[spot[0] : spot[1]].tolist()):
                     if runs and x <= runs[-1][1]:
@@ -451,17 +464,24 @@ def removed(docs: DataFrame, with_text: bool = False, shard_bytes: int = SHARD_B
     shared = spark.sparkContext.broadcast(common_strings(rows))
     sent = rows.mapInArrow(_sent(shards, buckets, shared), "kind int, key int, body binary")
     spans = sent.groupBy("kind", "key").applyInArrow(_indexed(buckets, batch_windows), "kind int, key int, body binary")  # one pass over the texts serves both kinds
-    keyed = rows.mapInArrow(_keyed(buckets), "doc_id long, text string, sig long, key int")
-    return keyed.groupBy("key").cogroup(spans.groupBy("key")).applyInArrow(_cut(with_text), RESULT)
+    texts = rows.mapInArrow(_texts(buckets), "kind int, key int, body binary")
+    return spans.unionByName(texts).groupBy("key").applyInArrow(_cut(with_text), RESULT)
+
 
+def _texts(buckets: int):
+    """kind 2: packed documents for a bucket; together they compress far better than one by one."""
 
-def _keyed(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc = np.array([LAST_ID if d is None else d for d in batch.column(0).to_pylist()], np.int64)
-            sig = np.array([_checksum(t.as_buffer()) for t in batch.column(1)], np.int64)
-            key = _bucket(doc, sig, buckets).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sig), pa.array(key)], ["doc_id", "text", "sig", "key"])
+            out = []
+            for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), 4 * CHUNK_CHARS):
+                bodies = [t.encode() for t in texts]
+                sig = np.array([_checksum(x) for x in bodies], np.int64)
+                key = _bucket(np.array([LAST_ID if d is None else d for d in ids], np.int64), sig, buckets)
+                order = np.argsort(key, kind="stable")
+                for some in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+                    out.append((2, int(key[some[0]]), _packed([ids[i] for i in some], sig[some].tolist(), [bodies[i] for i in some])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 3, [pa.int32(), pa.int32(), pa.binary()])], ["kind", "key", "body"])
 
     return run
 
