@@ -1,6 +1,117 @@
-"""The registered queries of the engine and their SQL."""
+"""The registered queries of the engine and their SQL for DuckDB."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import text as t
+from tidemark.operators import analysis, content, entities
+from tidemark.sources.content import read_items
+
+HEADLINE = "(?i)(dollar|euro|yen|pound|yuan|currency|forex|fed|rate|bank|inflation)"  # fixed value
+#: The corpus has no finance words: versions stand in for a metric.
+METRIC = {"version": r"version\D{0,20}(\d+\.?\d*)", "number": r"(?:^|\s)[nv]\D{0,3}(\d+\.\d+)"}
+LINK_BASE = "https://example.net"
+KEPT_ALIASES = ("fed", "boj")  # a smaller dictionary leaves surfaces unresolved
+
+
+def _items(spark: SparkSession, d: str) -> DataFrame:
+    return read_items(spark, d)
+
+
+def _aliases(spark: SparkSession) -> DataFrame:
+    return entities.alias_dimension(spark)
+
+
+def _few(spark: SparkSession) -> DataFrame:
+    return _aliases(spark).where(F.col("alias").isin(*KEPT_ALIASES))
+
+
+def _mentions(spark: SparkSession, d: str) -> DataFrame:
+    return entities.mentions(_items(spark, d), _aliases(spark))
+
+
+def _sentiments(spark: SparkSession, d: str) -> DataFrame:
+    """Recorded scores: labels of the documents in which an alias stands."""
+    label = F.when(F.col("toxic") == 1, "bearish").when(F.col("quality") == 1, "bullish").otherwise("neutral")
+    score = F.col("quality").cast("double") - 2.0 * F.col("toxic")
+    confidence = F.lit(0.5) + F.col("doc_id") % 10 / 10.0
+    names = analysis.coerced(label, score, confidence)
+    labels = spark.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").alias("ord"), *[c.alias(n) for c, n in zip(names, ("label", "score", "confidence"))])
+    rows = entities.resolve(_mentions(spark, d), _aliases(spark))
+    return rows.join(labels, "ord").select("ord", "canonical_id", "canonical_name", "label", "score", "confidence", F.col("surface_form").alias("evidence_span"), "source_name")
+
+
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    page = spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)">([^<]*)</a>'), F.lit(1))).alias("pos", "href"), "html")
+    return page.select("page_id", F.col("pos").cast("long").alias("pos"), t.absolute(F.col("href"), LINK_BASE).alias("url"))
+
+
+def _calls(spark: SparkSession, d: str) -> DataFrame:
+    model = F.element_at(F.array(*[F.lit(m) for m in ("openai/gpt-4o-mini-2024", "gpt-4o", "gpt-4-turbo", "gpt-5")]), (F.col("conv_id") % 4 + 1).cast("int"))
+    stage = F.element_at(F.array(*[F.lit(s) for s in ("extraction", "resolution", "sentiment")]), (F.col("conv_id") % 3 + 1).cast("int"))
+    length = F.char_length("text")
+    rows = spark.read.parquet(f"{d}/conversations.parquet").groupBy("conv_id").agg(
+        F.sum(F.when(F.col("role") != "assistant", length).otherwise(0)).alias("prompt_tokens"), F.sum(F.when(F.col("role") == "assistant", length).otherwise(0)).alias("completion_tokens")
+    )
+    return analysis.priced(rows.select("conv_id", stage.alias("stage"), model.alias("model"), F.when(F.col("conv_id") % 5 == 0, "").otherwise(F.concat(F.lit("s"), F.col("conv_id") % 7)).alias("source_name"), "prompt_tokens", "completion_tokens"))
+
+
+def _headlines(spark, d):
+    return _items(spark, d).where((F.char_length("title") >= 20) & F.col("title").rlike(HEADLINE)).select("id", "title")
+
+
+def _numbers(spark, d):
+    return _items(spark, d).select("id", F.posexplode(t.numbers(F.col("combined"))).alias("pos", "n")).select("id", F.col("pos").cast("long").alias("pos"), "n.value", "n.unit")
+
+
+def _dates(spark, d):
+    raw = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.date_format("o_orderdate", "MMMM d, yyyy").alias("raw"))
+    return raw.select("o_orderkey", "raw", t.parse_date(F.col("raw")).cast("date").cast("string").alias("parsed"))
+
+
+def _run_summary(spark, d):
+    found = _mentions(spark, d).agg(F.count(F.lit(1)).alias("mentions"))
+    return _items(spark, d).agg(F.countDistinct("source_name").alias("sources"), F.count(F.lit(1)).alias("items"), F.countDistinct("content_hash").alias("distinct_items")).crossJoin(found)  # one row each
+
+
+def _qa_union(spark, d):
+    one = analysis.conflicts(_sentiments(spark, d)).select(F.lit("sentiment_conflict").alias("flag_type"), F.concat_ws("|", "canonical_id", F.col("ord_a").cast("string"), F.col("ord_b").cast("string")).alias("key"))
+    two = entities.unresolved_flags(entities.resolve(_mentions(spark, d), _few(spark))).select(F.lit("unresolved_entity").alias("flag_type"), F.col("flag_key").alias("key"))
+    three = analysis.inconsistencies(analysis.readings(_items(spark, d), METRIC)).select(F.lit("numeric_inconsistency").alias("flag_type"), F.concat_ws("|", "metric", "source_a", "source_b").alias("key"))
+    return one.unionByName(two).unionByName(three)
+
+
+CONTENT = ("id", "source_name", "title", "body", "content_hash")
+QUERIES = {
+    "content_items": lambda s, d: _items(s, d).select(*CONTENT),
+    "cap_per_source": lambda s, d: content.cap(_items(s, d)).select("id", "source_name"),
+    "dedup_first_wins": lambda s, d: content.first_wins(_items(s, d).select("id", "source_name", "ord", "content_hash")).select("id", "content_hash"),
+    "cap_then_dedup": lambda s, d: content.first_wins(content.cap(_items(s, d))).select(*CONTENT),
+    "source_union_filter": lambda s, d: read_items(s, d, ["src1", "src3"]).select("id", "source_name"),
+    "headline_filter": _headlines,
+    "number_values": _numbers,
+    "ner_batches": lambda s, d: content.batches(_items(s, d)),
+    "gazetteer_mentions": lambda s, d: _mentions(s, d).select("id", "surface_form", "entity_type", "span_start", "span_end"),
+    "alias_resolution": lambda s, d: entities.resolve(_mentions(s, d), _few(s)).select("id", "surface_form", "canonical_id", "canonical_name", "resolution_confidence"),
+    "unresolved_surfaces": lambda s, d: entities.unresolved(_mentions(s, d), _few(s)),
+    "entity_registry_aliases": lambda s, d: entities.registry(_aliases(s)),
+    "unresolved_flags": lambda s, d: entities.unresolved_flags(entities.resolve(_mentions(s, d), _few(s))),
+    "entity_sentiments": lambda s, d: _sentiments(s, d),
+    "sentiment_conflicts": lambda s, d: analysis.conflicts(_sentiments(s, d)),
+    "sentiment_summary": lambda s, d: analysis.summary(_sentiments(s, d)),
+    "numeric_readings": lambda s, d: analysis.readings(_items(s, d), METRIC),
+    "numeric_inconsistency": lambda s, d: analysis.inconsistencies(analysis.readings(_items(s, d), METRIC)),
+    "qa_union": _qa_union,
+    "cost_records": lambda s, d: _calls(s, d).select("conv_id", "stage", "model", "prompt_tokens", "completion_tokens", F.col("estimated_cost").cast("double").alias("estimated_cost")),
+    "cost_by_stage": lambda s, d: analysis.cost_by(_calls(s, d), "stage"),
+    "cost_by_source": lambda s, d: analysis.cost_by(_calls(s, d), "source_name"),
+    "cost_total": lambda s, d: _calls(s, d).agg(F.round(F.sum("estimated_cost"), 6).cast("double").alias("cost")),
+    "run_summary": _run_summary,
+    "page_titles": lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")),
+    "page_links": _links,
+    "page_top_links": lambda s, d: analysis.top_by_order(_links(s, d), "page_id", "pos", 3),
+    "json_path": lambda s, d: s.read.parquet(f"{d}/events.parquet").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k")),
+    "parse_dates": _dates,
+}
