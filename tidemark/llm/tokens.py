@@ -19,6 +19,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MEMO_WORDS = 1_000_000
 _IRREGULAR = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_SPACE = re.compile(r"\s")
 _MARK = "\x01"
 
 
@@ -34,6 +35,7 @@ class WordTokenizer:
         self.memo: dict[str, bytes] = {}
         self.spaced = self._whole(" a") != self._whole("a")  # a leading space counts
         self.mark = self._whole(f" {_MARK}")
+        self.stops = {c: self._whole(c) for c in ".,"}
         self.before_mark = np.frombuffer(self.mark, self.dtype)
 
     def _whole(self, text: str) -> bytes:
@@ -41,9 +43,11 @@ class WordTokenizer:
 
     def _learn(self, words: set[str]) -> None:
         """Adds the ids of " word" for each word, which has no inner cut."""
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo.clear()
-        plain = [w for w in words if w and _MARK not in w and not re.search(r"\s", w)]
+        plain = [w for w in words if w and _MARK not in w and not _SPACE.search(w)]
+        # A final '.' or ',' after a letter is a piece of its own to both pre-tokenizers.
+        stems = {w[:-1] for w in plain if w[-1] in ".," and w[-2:-1].isalpha()}.difference(self.memo)
+        rest = [w for w in plain if not (w[-1] in ".," and w[-2:-1].isalpha())]
+        plain = list(stems.union(rest))
         for at in range(0, len(plain), 20_000):
             part = plain[at : at + 20_000]
             # A mark after each word shows where its ids end.
@@ -51,21 +55,26 @@ class WordTokenizer:
             n, m = len(self.before_mark), self.before_mark
             hits = np.flatnonzero(np.all([ids[i : len(ids) - n + 1 + i] == m[i] for i in range(n)], axis=0))
             if len(hits) == len(part) + 1:
-                for w, a, b in zip(part, (hits[:-1] + n).tolist(), hits[1:].tolist()):
-                    self.memo[w] = ids[a:b].tobytes()
+                data, size = ids.tobytes(), self.dtype.itemsize
+                self.memo.update((w, data[size * a : size * b]) for w, a, b in zip(part, (hits[:-1] + n).tolist(), hits[1:].tolist()))
         for w in words:
             if w not in self.memo:
-                self.memo[w] = self._whole(f" {w}")
+                stem = self.memo.get(w[:-1]) if w and w[-1] in ".," and w[-2:-1].isalpha() else None
+                self.memo[w] = self._whole(f" {w}") if stem is None else stem + self.stops[w[-1]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") if not _IRREGULAR.search(t) else _CUT.split(t) for t in texts]
         words = {w for parts in split for w in parts[1:]}
-        if missing := words.difference(self.memo):
+        missing = words.difference(self.memo)
+        if len(self.memo) + len(missing) > MEMO_WORDS:
+            self.memo.clear()
+            missing = words
+        if missing:
             self._learn(missing)
-        memo, out = self.memo, []
+        look, out = self.memo.__getitem__, []
         for parts in split:
-            first = memo.get(parts[0]) if not self.spaced else None
-            out.append((self._whole(parts[0]) if first is None else first) + b"".join([memo[w] for w in parts[1:]]))
+            first = self.memo.get(parts[0]) if not self.spaced else None
+            out.append((self._whole(parts[0]) if first is None else first) + b"".join(map(look, parts[1:])))
         return out
 
 
