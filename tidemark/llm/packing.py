@@ -72,7 +72,7 @@ def _poured(bins: list[list[tuple[int, int, int]]], length: int, gap: int) -> li
     """Empties the least full bins into the others' gaps as long as that saves a bin."""
     order = sorted(bins, key=lambda b: -sum(p[2] for p in b))
     room = [length - sum(p[2] for p in b) for b in order]
-    i = 0
+    i, begun = 0, -1
     while True:
         # All gaps of `gap` or more before the last bin must hold what it holds.
         last = len(order) - 1
@@ -80,8 +80,9 @@ def _poured(bins: list[list[tuple[int, int, int]]], length: int, gap: int) -> li
             return order
         for d, s, n in order[last]:
             while n:
-                while room[i] < gap:
+                while not room[i] or room[i] < gap and i != begun:  # a gap once begun is filled to its end
                     i += 1
+                begun = i
                 put = min(n, room[i])
                 order[i].append((d, s, put))
                 room[i] -= put
