@@ -32,7 +32,7 @@ from tidemark.llm.common import doc_rows, fold, materialise, prepare, py_fold, s
 from tidemark.llm.tokens import tokenizer_path
 
 FOLDS, HELD_OUT = 5, 1
-HEAD_WORDS = 1 << 21
+HEAD_WORDS = 1 << 18
 ROUNDS = 3
 #: Words longer than this many bytes take the recursion one by one.
 LONG = 64
