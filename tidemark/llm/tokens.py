@@ -1,28 +1,36 @@
 """Token ids of whole texts from a public tokenizer file, with a bounded memo of words.
 
-A text is cut at single spaces between two characters that aren't white space.  Both pre-tokenizers
-used here start a new piece at such a space and never join across it, so the ids of the parts are the
-ids of the whole; what the memo doesn't hold goes to the tokenizers library, many words in one call.
+A text is cut at single spaces between two characters that aren't white space and before single line
+ends there.  Both pre-tokenizers used here start a new piece at such a place and never join across it,
+so the ids of the parts are the ids of the whole; what the memo doesn't hold goes to the tokenizers
+library, many words in one call.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from contextlib import suppress
 from functools import cache
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words that a worker's memo holds at most; it starts anew beyond that.
-MEMO_WORDS = 1_000_000
+#: Words that a worker's memo holds at most, in two halves: the older one goes when the newer one is full.
+MEMO_WORDS = 1_200_000
 _IRREGULAR = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_SPACE = re.compile(r"\s")
+_CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _MARK = "\x01"
 
 
+def _form(word: str) -> str:
+    """How a word of the memo stands in a text: after its line end, or after a space."""
+    return word if word[:1] == "\n" else f" {word}"
+
+
 class WordTokenizer:
     """ids(texts) gives each text's ids as little-endian uint16 (uint32 for over 65,536 ids) bytes."""
 
@@ -33,48 +41,70 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.spaced = self._whole(" a") != self._whole("a")  # a leading space counts
         self.mark = self._whole(f" {_MARK}")
-        self.stops = {c: self._whole(c) for c in ".,"}
+        self.tails: dict[str, bytes] = {}
         self.before_mark = np.frombuffer(self.mark, self.dtype)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self._whole(tail)
+        return self.tails[tail]
+
     def _learn(self, words: set[str]) -> None:
-        """Adds the ids of " word" for each word, which has no inner cut."""
-        plain = [w for w in words if w and _MARK not in w and not _SPACE.search(w)]
-        # A final '.' or ',' after a letter is a piece of its own to both pre-tokenizers.
-        stems = {w[:-1] for w in plain if w[-1] in ".," and w[-2:-1].isalpha()}.difference(self.memo)
-        rest = [w for w in plain if not (w[-1] in ".," and w[-2:-1].isalpha())]
-        plain = list(stems.union(rest))
+        """Adds the ids of each word, which has no inner cut."""
+        # ASCII punctuation after a letter or digit (in lower case, too) begins a piece of its own to both pre-tokenizers.
+        stems = {w: s for w in words if len(s := w.rstrip(punctuation)) < len(w) and s[-1:].lower()[-1:].isalnum()}
+        plain = list({stems.get(w, w) for w in words}.difference(self.memo))
         for at in range(0, len(plain), 20_000):
             part = plain[at : at + 20_000]
             # A mark after each word shows where its ids end.
-            ids = np.array(self.tokenizer.encode(f" {_MARK} ".join(["", *part, ""]), add_special_tokens=False).ids, self.dtype)
+            text = f" {_MARK}".join(["", *(_form(w) for w in part), ""])
+            if len(text.split()) != 2 * len(part) + 1 or text.count(_MARK) != len(part) + 1:
+                part = [w for w in part if len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace() and _MARK not in w]
+                text = f" {_MARK}".join(["", *(_form(w) for w in part), ""])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             n, m = len(self.before_mark), self.before_mark
             hits = np.flatnonzero(np.all([ids[i : len(ids) - n + 1 + i] == m[i] for i in range(n)], axis=0))
             if len(hits) == len(part) + 1:
                 data, size = ids.tobytes(), self.dtype.itemsize
-                self.memo.update((w, data[size * a : size * b]) for w, a, b in zip(part, (hits[:-1] + n).tolist(), hits[1:].tolist()))
-        for w in words:
-            if w not in self.memo:
-                stem = self.memo.get(w[:-1]) if w and w[-1] in ".," and w[-2:-1].isalpha() else None
-                self.memo[w] = self._whole(f" {w}") if stem is None else stem + self.stops[w[-1]]
+                self.memo.update([(w, data[a:b]) for w, a, b in zip(part, (size * (hits[:-1] + n)).tolist(), (size * hits[1:]).tolist())])
+        for w in words.difference(self.memo):
+            stem = self.memo.get(stems.get(w))
+            self.memo[w] = self._whole(_form(w)) if stem is None else stem + self._tail(w[len(stems[w]) :])
+
+    def _fresh(self, words: set[str]) -> None:
+        """Sees to it that the newer half of the memo holds all these words."""
+        back = [(w, x) for w in words if (x := self.older.get(w)) is not None]
+        self.memo.update(back)
+        if len(back) < len(words):
+            self._learn(words.difference(w for w, _ in back))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if not _IRREGULAR.search(t) else _CUT.split(t) for t in texts]
-        words = {w for parts in split for w in parts[1:]}
-        missing = words.difference(self.memo)
-        if len(self.memo) + len(missing) > MEMO_WORDS:
-            self.memo.clear()
-            missing = words
-        if missing:
-            self._learn(missing)
-        look, out = self.memo.__getitem__, []
-        for parts in split:
-            first = self.memo.get(parts[0]) if not self.spaced else None
-            out.append((self._whole(parts[0]) if first is None else first) + b"".join(map(look, parts[1:])))
+        split = [t.replace("\n", " \n").split(" ") if not _IRREGULAR.search(t) else _CUT.split(t) for t in texts]
+        firsts = [parts.pop(0) for parts in split]
+        if len(self.memo) > MEMO_WORDS // 2:
+            self.older, self.memo = self.memo, {}
+            self.tails.clear()
+        words = list(chain.from_iterable(split))
+        found = list(map(self.memo.get, words))
+        absent, at = [], -1
+        with suppress(ValueError):
+            while True:
+                absent.append(at := found.index(None, at + 1))
+        if absent:
+            self._fresh({words[i] for i in absent})
+            for i in absent:
+                found[i] = self.memo[words[i]]
+        out, at = [], 0
+        for word, parts in zip(firsts, split):
+            first = self.memo.get(word) if not self.spaced else None
+            out.append((self._whole(word) if first is None else first) + b"".join(found[at : at + len(parts)]))
+            at += len(parts)
         return out
 
 
