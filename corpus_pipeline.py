@@ -14,6 +14,9 @@ from tidemark.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from tidemark.llm.common import materialise, prepare
 from tidemark.llm.tokens import tokenizer_path
 
+#: A smaller memo of words than packing alone takes: workers keep it while other stages run.
+MEMO_WORDS = 700_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go.  It learns from docs and the labels outside the held-out fold."""
@@ -41,7 +44,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"))
+    return packing.packed(docs, tokenizer_path("byte_bpe_50k.json"), memo_words=MEMO_WORDS)
 
 
 STAGES = [

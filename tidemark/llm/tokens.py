@@ -34,12 +34,13 @@ def _form(word: str) -> str:
 class WordTokenizer:
     """ids(texts) gives each text's ids as little-endian uint16 (uint32 for over 65,536 ids) bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.memo_words = memo_words
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.spaced = self._whole(" a") != self._whole("a")  # a leading space counts
@@ -87,7 +88,7 @@ class WordTokenizer:
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " \n").split(" ") if not _IRREGULAR.search(t) else _CUT.split(t) for t in texts]
         firsts = [parts.pop(0) for parts in split]
-        if len(self.memo) > MEMO_WORDS // 2:
+        if len(self.memo) > self.memo_words // 2:
             self.older, self.memo = self.memo, {}
             self.tails.clear()
         words = list(chain.from_iterable(split))
@@ -109,9 +110,9 @@ class WordTokenizer:
 
 
 @cache
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One for each worker process and file; its memo outlives a task."""
-    return WordTokenizer(path)
+def word_tokenizer(path: str, memo_words: int = MEMO_WORDS) -> WordTokenizer:
+    """One for each worker process, file and bound; its memo outlives a task."""
+    return WordTokenizer(path, memo_words)
 
 
 def tokenizer_path(name: str) -> str:
