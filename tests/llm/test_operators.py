@@ -50,13 +50,6 @@ def test_tokens_are_those_of_the_whole_text():
                 assert np.frombuffer(x, w.dtype).tolist() == w.tokenizer.encode(t, add_special_tokens=False).ids
 
 
-def test_memo_that_starts_anew_keeps_the_words_at_hand(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO_WORDS", 3)
-    w = tokens.WordTokenizer(tokens.tokenizer_path("byte_bpe_50k.json"))
-    for t in ("a b c d", "b c e f", "c f g h i"):
-        assert np.frombuffer(w.ids([t])[0], w.dtype).tolist() == w.tokenizer.encode(t, add_special_tokens=False).ids
-
-
 def test_huffman_round_trip():
     r = np.random.default_rng(2)
     ids = np.minimum((r.pareto(0.7, 5000) * 3).astype(np.int64), 4000)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import doc_rows, materialise, new_path, prepare, slices
-from tidemark.llm.tokens import tokenizer_path, word_tokenizer
+from tidemark.llm.tokens import TOKEN_CHARS, tokenizer_path, word_tokenizer
 
 MAX_BITS = 16
 STEP = 64
@@ -131,7 +131,7 @@ def _ids(path: str, end_id: int):
         tok = word_tokenizer(path)
         end = np.array([end_id], tok.dtype).tobytes()
         for batch in batches:
-            for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), TOKEN_CHARS):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x + end for x in tok.ids(texts)], pa.binary())], ["doc_id", "ids"])
 
     return run

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import doc_rows, prepare, slices
-from tidemark.llm.tokens import MEMO_WORDS, tokenizer_path, word_tokenizer
+from tidemark.llm.tokens import TOKEN_CHARS, tokenizer_path, word_tokenizer
 
 LENGTH = 1024
 GROUP_DOCS = 2048
@@ -91,13 +91,13 @@ def _poured(bins: list[list[tuple[int, int, int]]], length: int, gap: int) -> li
         room.pop()
 
 
-def _tokenised(path: str, end_id: int, groups: int, memo_words: int):
+def _tokenised(path: str, end_id: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = word_tokenizer(path, memo_words)
+        tok = word_tokenizer(path)
         end = np.array([end_id], tok.dtype).tobytes()
         for batch in batches:
             seen: dict[tuple, int] = {}
-            for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), TOKEN_CHARS):
                 found = [x + end for x in tok.ids(texts)]
                 group = []
                 for d, x in zip(ids, found):
@@ -126,14 +126,14 @@ def _packed(length: int, gap: int, item: str):
     return run
 
 
-def packed(docs: DataFrame, path: str, end_id: int = 0, length: int = LENGTH, group_docs: int = GROUP_DOCS, gap: int = GAP, memo_words: int = MEMO_WORDS) -> DataFrame:
-    """One row for each piece: the columns of PIECES.  memo_words bounds a worker's memo, not the result."""
+def packed(docs: DataFrame, path: str, end_id: int = 0, length: int = LENGTH, group_docs: int = GROUP_DOCS, gap: int = GAP) -> DataFrame:
+    """One row for each piece: the columns of PIECES."""
     prepare(docs.sparkSession)
     groups = max(1, -(-docs.count() // group_docs))
     from tokenizers import Tokenizer
 
     item = "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
-    ids = doc_rows(docs).mapInArrow(_tokenised(path, end_id, groups, memo_words), "doc_id long, g int, ids binary")
+    ids = doc_rows(docs).mapInArrow(_tokenised(path, end_id, groups), "doc_id long, g int, ids binary")
     return ids.groupBy("g").applyInArrow(_packed(length, gap, item), PIECES)
 
 

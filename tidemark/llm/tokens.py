@@ -1,118 +1,163 @@
-"""Token ids of whole texts from a public tokenizer file, with a bounded memo of words.
+"""Token ids of whole texts from a public tokenizer file, by their distinct words.
 
 A text is cut at single spaces between two characters that aren't white space and before single line
 ends there.  Both pre-tokenizers used here start a new piece at such a place and never join across it,
-so the ids of the parts are the ids of the whole; what the memo doesn't hold goes to the tokenizers
-library, many words in one call.
+so the ids of the parts are the ids of the whole.  Arrow cuts the texts of one call and numbers their
+distinct words; the tokenizers library encodes each of these once, many in one text, and numpy puts the
+texts together again.  Nothing is held from one call to the next.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from contextlib import suppress
 from functools import cache
 from itertools import chain
 from string import punctuation
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Words that a worker's memo holds at most, in two halves: the older one goes when the newer one is full.
-MEMO_WORDS = 1_200_000
+#: Texts are best given in slices of about this many characters: more of their words repeat.
+TOKEN_CHARS = 8_000_000
 _IRREGULAR = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _MARK = "\x01"
+#: Letters that are one piece together, have no combining form and whose lower case is one letter.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_AT_ONCE = 20_000
 
 
 def _form(word: str) -> str:
-    """How a word of the memo stands in a text: after its line end, or after a space."""
+    """How a word stands in a text: after its line end, or after a space."""
     return word if word[:1] == "\n" else f" {word}"
 
 
+def _gathered(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """pool[start : start + size] of every pair, one after the other."""
+    ends = np.cumsum(size)
+    return pool[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _starts(size: np.ndarray) -> np.ndarray:
+    return np.cumsum(size) - size
+
+
 class WordTokenizer:
     """ids(texts) gives each text's ids as little-endian uint16 (uint32 for over 65,536 ids) bytes."""
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo_words = memo_words
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.spaced = self._whole(" a") != self._whole("a")  # a leading space counts
-        self.mark = self._whole(f" {_MARK}")
-        self.tails: dict[str, bytes] = {}
-        self.before_mark = np.frombuffer(self.mark, self.dtype)
+        self.mark = np.frombuffer(self._whole(f" {_MARK}"), self.dtype)
+        #: Ids that begin a word (a space or line end comes first) or, without spaces, that end one.
+        self.edge = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.edge[i] = token[:1] in ("Ġ", "Ċ") if self.spaced else token.endswith("</w>")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _tail(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            self.tails[tail] = self._whole(tail)
-        return self.tails[tail]
-
-    def _learn(self, words: set[str]) -> None:
-        """Adds the ids of each word, which has no inner cut."""
-        # ASCII punctuation after a letter or digit (in lower case, too) begins a piece of its own to both pre-tokenizers.
-        stems = {w: s for w in words if len(s := w.rstrip(punctuation)) < len(w) and s[-1:].lower()[-1:].isalnum()}
-        plain = list({stems.get(w, w) for w in words}.difference(self.memo))
-        for at in range(0, len(plain), 20_000):
-            part = plain[at : at + 20_000]
-            # A mark after each word shows where its ids end.
-            text = f" {_MARK}".join(["", *(_form(w) for w in part), ""])
-            if len(text.split()) != 2 * len(part) + 1 or text.count(_MARK) != len(part) + 1:
-                part = [w for w in part if len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace() and _MARK not in w]
-                text = f" {_MARK}".join(["", *(_form(w) for w in part), ""])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            n, m = len(self.before_mark), self.before_mark
-            hits = np.flatnonzero(np.all([ids[i : len(ids) - n + 1 + i] == m[i] for i in range(n)], axis=0))
-            if len(hits) == len(part) + 1:
-                data, size = ids.tobytes(), self.dtype.itemsize
-                self.memo.update([(w, data[a:b]) for w, a, b in zip(part, (size * (hits[:-1] + n)).tolist(), (size * hits[1:]).tolist())])
-        for w in words.difference(self.memo):
-            stem = self.memo.get(stems.get(w))
-            self.memo[w] = self._whole(_form(w)) if stem is None else stem + self._tail(w[len(stems[w]) :])
-
-    def _fresh(self, words: set[str]) -> None:
-        """Sees to it that the newer half of the memo holds all these words."""
-        back = [(w, x) for w in words if (x := self.older.get(w)) is not None]
-        self.memo.update(back)
-        if len(back) < len(words):
-            self._learn(words.difference(w for w, _ in back))
+    def _joined(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their numbers for words of letters only: each is one piece, whose edge shows."""
+        ids = self._joined("".join(map(_form, words)))
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):
+            return None
+        return ids, np.diff(at, append=len(ids)) if self.spaced else np.diff(at, prepend=-1)
+
+    def _marked(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, which has no inner cut; a mark after each shows where its ids end."""
+        found: dict[str, bytes] = {}
+        part = [w for w in words if len(w.split()) == 1 and not w[1:2].isspace() and not w[-1].isspace() and _MARK not in w]
+        ids = self._joined(f" {_MARK}".join(["", *map(_form, part), ""]))
+        n, m = len(self.mark), self.mark
+        hits = np.flatnonzero(np.all([ids[i : len(ids) - n + 1 + i] == m[i] for i in range(n)], axis=0))
+        if len(hits) == len(part) + 1:
+            data, size = ids.tobytes(), self.dtype.itemsize
+            found.update([(w, data[a:b]) for w, a, b in zip(part, (size * (hits[:-1] + n)).tolist(), (size * hits[1:]).tolist())])
+        return [found[w] if w in found else self._whole(_form(w)) for w in words]
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all these words, one after the other, and how many each has."""
+        plain = pc.match_substring_regex(words, f"^\n?[{_LETTERS}]+$")
+        pools, size, base = [np.zeros(0, self.dtype)], np.zeros(len(words), np.int64), 0
+        start = np.zeros(len(words), np.int64)
+        for mask in (plain, pc.invert(plain)):
+            where, some = np.flatnonzero(mask.to_numpy(zero_copy_only=False)), words.filter(mask).to_pylist()
+            for at in range(0, len(some), _AT_ONCE):
+                part = some[at : at + _AT_ONCE]
+                found = self._letters(part) if mask is plain else None
+                if found is None:
+                    each = self._marked(part)
+                    found = np.frombuffer(b"".join(each), self.dtype), np.fromiter(map(len, each), np.int64, len(each)) // self.dtype.itemsize
+                size[where[at : at + len(part)]] = found[1]
+                start[where[at : at + len(part)]] = base + _starts(found[1])
+                base += len(found[0])
+                pools.append(found[0])
+        return _gathered(np.concatenate(pools), start, size), size
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As _encoded, by way of the words' stems.
+
+        ASCII punctuation after a letter or digit begins a piece of its own to both pre-tokenizers.
+        """
+        bare = pc.utf8_rtrim(words, characters=punctuation)
+        cut = pc.and_(pc.less(pc.binary_length(bare), pc.binary_length(words)), pc.match_substring_regex(bare, f"[0-9{_LETTERS}]$"))
+        stems = pc.dictionary_encode(pc.if_else(cut, bare, words))
+        ends = [w[n:] for w, n in zip(words.filter(cut).to_pylist(), pc.utf8_length(bare.filter(cut)).to_pylist())]
+        tails = pc.dictionary_encode(pa.array(ends, pa.large_string()))
+        ids, size = self._encoded(stems.dictionary)
+        known = [np.frombuffer(self._whole(x), self.dtype) for x in tails.dictionary.to_pylist()]
+        tail_size = np.fromiter(map(len, known), np.int64, len(known))
+        # For each word two runs: its stem's and its tail's.
+        start, length = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        stem, tail = stems.indices.to_numpy(), tails.indices.to_numpy()
+        start[:, 0], length[:, 0] = _starts(size)[stem], size[stem]
+        has = cut.to_numpy(zero_copy_only=False)
+        start[has, 1], length[has, 1] = len(ids) + _starts(tail_size)[tail], tail_size[tail]
+        return _gathered(np.concatenate([ids, *known]), start.ravel(), length.ravel()), length.sum(1)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " \n").split(" ") if not _IRREGULAR.search(t) else _CUT.split(t) for t in texts]
-        firsts = [parts.pop(0) for parts in split]
-        if len(self.memo) > self.memo_words // 2:
-            self.older, self.memo = self.memo, {}
-            self.tails.clear()
-        words = list(chain.from_iterable(split))
-        found = list(map(self.memo.get, words))
-        absent, at = [], -1
-        with suppress(ValueError):
-            while True:
-                absent.append(at := found.index(None, at + 1))
-        if absent:
-            self._fresh({words[i] for i in absent})
-            for i in absent:
-                found[i] = self.memo[words[i]]
-        out, at = [], 0
-        for word, parts in zip(firsts, split):
-            first = self.memo.get(word) if not self.spaced else None
-            out.append((self._whole(word) if first is None else first) + b"".join(found[at : at + len(parts)]))
-            at += len(parts)
+        odd = [bool(_IRREGULAR.search(t)) for t in texts]
+        order = sorted(range(len(texts)), key=odd.__getitem__)
+        even = len(texts) - sum(odd)
+        lines = pc.replace_substring(pa.array([texts[i] for i in order[:even]], pa.large_string()), "\n", " \n")
+        parts = pc.split_pattern(lines, " ")
+        others = [_CUT.split(texts[i]) for i in order[even:]]
+        counts = np.concatenate([pc.list_value_length(parts).to_numpy().astype(np.int64), np.fromiter(map(len, others), np.int64, len(others))])
+        flat = pa.concat_arrays([parts.flatten(), pa.array(list(chain.from_iterable(others)), pa.large_string())])
+        first = np.zeros(len(flat), bool)
+        first[_starts(counts)] = True
+        heads = [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(flat.filter(pa.array(first)).to_pylist(), add_special_tokens=False)]
+        words = pc.dictionary_encode(flat.filter(pa.array(~first)))
+        del lines, parts, flat
+        pool, size = self._distinct(words.dictionary)
+        number = words.indices.to_numpy()
+        each = size[number]
+        data = _gathered(pool, _starts(size)[number], each).tobytes()
+        bounds = self.dtype.itemsize * np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(counts - 1)])]
+        out = [b""] * len(texts)
+        for i, head, a, b in zip(order, heads, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = head + data[a:b]
         return out
 
 
 @cache
-def word_tokenizer(path: str, memo_words: int = MEMO_WORDS) -> WordTokenizer:
-    """One for each worker process, file and bound; its memo outlives a task."""
-    return WordTokenizer(path, memo_words)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process and file."""
+    return WordTokenizer(path)
 
 
 def tokenizer_path(name: str) -> str:
