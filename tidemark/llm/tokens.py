@@ -28,7 +28,7 @@ _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _MARK = "\x01"
 #: Letters that are one piece together, have no combining form and whose lower case is one letter.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
-_AT_ONCE = 20_000
+_AT_ONCE = 1_000
 
 
 def _form(word: str) -> str:
@@ -115,7 +115,10 @@ class WordTokenizer:
         """
         bare = pc.utf8_rtrim(words, characters=punctuation)
         cut = pc.and_(pc.less(pc.binary_length(bare), pc.binary_length(words)), pc.match_substring_regex(bare, f"[0-9{_LETTERS}]$"))
-        stems = pc.dictionary_encode(pc.if_else(cut, bare, words))
+        stem = pc.if_else(cut, bare, words)
+        if not self.spaced:  # case and the white space before a word don't count either
+            stem = pc.if_else(pc.string_is_ascii(stem), pc.ascii_lower(pc.ascii_ltrim(stem, characters="\n")), stem)
+        stems = pc.dictionary_encode(stem)
         ends = [w[n:] for w, n in zip(words.filter(cut).to_pylist(), pc.utf8_length(bare.filter(cut)).to_pylist())]
         tails = pc.dictionary_encode(pa.array(ends, pa.large_string()))
         ids, size = self._encoded(stems.dictionary)
@@ -123,10 +126,10 @@ class WordTokenizer:
         tail_size = np.fromiter(map(len, known), np.int64, len(known))
         # For each word two runs: its stem's and its tail's.
         start, length = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
-        stem, tail = stems.indices.to_numpy(), tails.indices.to_numpy()
-        start[:, 0], length[:, 0] = _starts(size)[stem], size[stem]
+        of_stem, of_tail = stems.indices.to_numpy(), tails.indices.to_numpy()
+        start[:, 0], length[:, 0] = _starts(size)[of_stem], size[of_stem]
         has = cut.to_numpy(zero_copy_only=False)
-        start[has, 1], length[has, 1] = len(ids) + _starts(tail_size)[tail], tail_size[tail]
+        start[has, 1], length[has, 1] = len(ids) + _starts(tail_size)[of_tail], tail_size[of_tail]
         return _gathered(np.concatenate([ids, *known]), start.ravel(), length.ravel()), length.sum(1)
 
     def ids(self, texts: list[str]) -> list[bytes]:
