@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Texts are best given in slices of about this many characters: more of their words repeat.
-TOKEN_CHARS = 8_000_000
+TOKEN_CHARS = 16_000_000
 _IRREGULAR = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
 _MARK = "\x01"
