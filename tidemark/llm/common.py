@@ -20,12 +20,21 @@ LOWER = UPPER.lower()
 #: Texts are worked on in slices of about this many characters, which bounds a worker's memory.
 SLICE_CHARS = 2_000_000
 
+#: An Arrow batch's bytes at most, unless the session has its own setting: the JVM and a worker each hold some of them.
+ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+#: Workers live on between tasks, so what they free goes back to the system.
+GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 REPOSITORY = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package and gives the session a shared folder if it has none."""
+    """Lets Python workers import this package, bounds their memory, and gives the session a shared folder if it has none."""
     context = spark.sparkContext
+    if ARROW_BATCH[0] not in spark.conf.getAll:
+        spark.conf.set(*ARROW_BATCH)
+    for name, value in GIVE_BACK.items():
+        context.environment.setdefault(name, value)
     paths = context.environment.get("PYTHONPATH", "")
     if REPOSITORY not in paths.split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (REPOSITORY, paths) if x)
