@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
-from tidemark.operators import analysis, content, entities
+from tidemark.operators import analysis, content, entities, matching, sinks
 from tidemark.sources.content import read_items
 
 HEADLINE = "(?i)(dollar|euro|yen|pound|yuan|currency|forex|fed|rate|bank|inflation)"  # fixed value
@@ -83,6 +83,13 @@ def _qa_union(spark, d):
     return one.unionByName(two).unionByName(three)
 
 
+def _matched(spark, d):
+    """What an annotator might return: each mention's surface in capitals, and a word of its name."""
+    found = entities.resolve(_mentions(spark, d), _aliases(spark)).withColumn("item", F.col("ord"))
+    said = F.explode(F.array(F.struct((F.col("alias_ord") * 2).alias("nth"), F.upper("surface_form").alias("surface")), F.struct((F.col("alias_ord") * 2 + 1).alias("nth"), F.concat(F.lit("on "), F.substring_index("canonical_name", " ", -1), F.lit(" talk")).alias("surface"))))
+    return matching.match(found.select("item", said.alias("_s")).select("item", "_s.*"), found.select("item", F.col("alias_ord").alias("place"), "canonical_id", "canonical_name", "surface_form"))
+
+
 CONTENT = ("id", "source_name", "title", "body", "content_hash")
 QUERIES = {
     "content_items": lambda s, d: _items(s, d).select(*CONTENT),
@@ -99,6 +106,8 @@ QUERIES = {
     "entity_registry_aliases": lambda s, d: entities.registry(_aliases(s)),
     "unresolved_flags": lambda s, d: entities.unresolved_flags(entities.resolve(_mentions(s, d), _few(s))),
     "entity_sentiments": lambda s, d: _sentiments(s, d),
+    "sentiment_match": _matched,
+    "sentiment_lines": lambda s, d: sinks.summary_lines(analysis.summary(_sentiments(s, d))),
     "sentiment_conflicts": lambda s, d: analysis.conflicts(_sentiments(s, d)),
     "sentiment_summary": lambda s, d: analysis.summary(_sentiments(s, d)),
     "numeric_readings": lambda s, d: analysis.readings(_items(s, d), METRIC),
@@ -112,6 +121,7 @@ QUERIES = {
     "page_titles": lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")),
     "page_links": _links,
     "page_top_links": lambda s, d: analysis.top_by_order(_links(s, d), "page_id", "pos", 3),
+    "links_until_repeat": lambda s, d: matching.until_repeat(_links(s, d).withColumn("key", F.substr("url", F.lit(1), F.lit(22))), "page_id", "key", "pos"),
     "json_path": lambda s, d: s.read.parquet(f"{d}/events.parquet").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k")),
     "parse_dates": _dates,
 }

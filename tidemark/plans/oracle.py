@@ -124,6 +124,22 @@ ORACLES = {
     "page_titles": "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages",
     "page_links": f"WITH {LINKS} SELECT page_id, pos, url FROM links",
     "page_top_links": f"WITH {LINKS} SELECT page_id, pos, url FROM links WHERE pos < 3",
+    "links_until_repeat": f"""WITH {LINKS}, seen AS (
+        SELECT page_id, pos, url, substr(url, 1, 22) AS key, row_number() OVER (PARTITION BY page_id, substr(url, 1, 22) ORDER BY pos) AS k, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS n FROM links)
+      SELECT page_id, pos, url, key FROM seen s WHERE n <= 20 AND NOT EXISTS (SELECT 1 FROM seen t WHERE t.page_id = s.page_id AND t.pos <= s.pos AND t.k > 1)""",
+    "sentiment_match": f"""{_BASE}, {_resolved("true")}, said AS (
+        SELECT ord AS item, alias_ord * 2 AS nth, upper(surface_form) AS surface FROM resolved
+        UNION ALL SELECT ord, alias_ord * 2 + 1, 'on ' || split_part(canonical_name, ' ', -1) || ' talk' FROM resolved),
+      pairs AS (
+        SELECT s.item, s.nth, s.surface, r.canonical_id, r.canonical_name, r.alias_ord AS place, CASE
+          WHEN contains(lower(r.canonical_name), lower(s.surface)) OR contains(lower(s.surface), lower(r.canonical_name))
+            OR EXISTS (SELECT 1 FROM resolved x WHERE x.ord = r.ord AND x.canonical_id = r.canonical_id AND lower(x.surface_form) = lower(s.surface)) THEN 1
+          WHEN len(list_filter(string_split(lower(r.canonical_name), ' '), lambda w: length(w) > 2 AND contains(lower(s.surface), w))) > 0 THEN 2 END AS level
+        FROM said s JOIN resolved r ON r.ord = s.item)
+      SELECT item, nth, surface, canonical_id, canonical_name FROM pairs WHERE level IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY item, nth ORDER BY level, place) = 1""",
     "json_path": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "parse_dates": "SELECT o_orderkey, strftime(o_orderdate, '%B %-d, %Y') AS raw, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS parsed FROM orders",
 }
+ORACLES["sentiment_lines"] = f"""SELECT canonical_name, '- ' || canonical_name || ': ' || dominant_label || ' (avg score ' || printf('%+.2f', round(avg_score, 2)) || ', confidence ' || printf('%.2f', round(avg_confidence, 2))
+  || ') | sources: ' || replace(sources, '|', ', ') || ' | evidence: "' || substr(evidence, 1, 100) || '..."' AS line FROM ({ORACLES["sentiment_summary"]})"""
