@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, packing, simhash, toxicity
+from tidemark.llm import decontaminate, line_dedup, near_copies, packing, toxicity
 from tidemark.llm.common import materialise, prepare
 from tidemark.llm.tokens import tokenizer_path
 
@@ -30,8 +30,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id."""
-    return simhash.one_of_each(docs)
+    """One document of each group at a Jaccard similarity of 0.8 or more over five-word shingles stays: that with the smallest id."""
+    return near_copies.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
-    ("simhash", drop_near_copies),
+    ("near_copies", drop_near_copies),
     ("decontamination", drop_benchmark_leaks),
     ("packing", pack),
 ]

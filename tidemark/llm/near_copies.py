@@ -1,0 +1,172 @@
+"""Near copies by word shingles: MinHash bands propose, the shingle sets themselves decide.
+
+Two documents are linked if their sets of SHINGLE_WORDS-word shingles have a Jaccard similarity of at
+least SIMILARITY; a group is what links connect.
+
+1. Next to the scan each text gives a hash of its shingle set, which is its node, and BANDS hashes of
+   ROWS MinHash values each.  A pair at similarity s shares a band with probability
+   1 - (1 - s ** ROWS) ** BANDS: 0.9996 at 0.8.  That is the one place where a link can be missed.
+2. Nodes that share a band are joined to the least of them, and components of that are candidates.
+3. A candidate component's shingle sets meet in one task, each set once.  Within each band all pairs
+   that aren't connected yet are compared exactly, so a large group costs about one comparison a
+   member and band, and what comes out are the groups themselves.
+
+Only nodes that share a band with another have their texts moved; a candidate component has to fit in
+one task's memory (8 bytes a shingle).
+
+Defined results: words are lower-cased and split at ASCII white space; a text of fewer words than a
+shingle is one shingle; null and empty texts have none and are copies of each other; rows that repeat
+a doc_id each belong to their own text's group; a null doc_id never names a component unless all its
+group's ids are null; an empty table gives an empty table; other columns are ignored
+(``one_of_each`` returns them).
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import materialise, prepare
+from tidemark.llm.simhash import components
+
+SHINGLE_WORDS = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 20, 5
+SEED = 42
+_CELLS = 1 << 19
+_FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64)
+_FACTORS = _FACTORS * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
+    """The distinct hashes of the text's shingles, ascending."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()  # both ASCII only on bytes
+    if not words:
+        return np.zeros(0, np.uint64)
+    buffer, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = list(accumulate(len(w) + 1 for w in words))
+    starts = [0, *ends]
+    last = ends[words_each - 1 :] or ends[-1:]
+    return np.unique(np.array([digest(buffer[a : b - 1], SEED) for a, b in zip(starts, last)], np.uint64))
+
+
+def bands(held: np.ndarray) -> np.ndarray:
+    """BANDS hashes of a shingle set; none of an empty set."""
+    import xxhash
+
+    if not len(held):
+        return np.zeros(0, np.uint64)
+    step = _CELLS // (BANDS * ROWS)
+    least = np.min([(held[i : i + step, None] * _FACTORS + _SHIFTS).min(0) for i in range(0, len(held), step)], axis=0)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if both else float(len(a) == len(b) == 0)
+
+
+def groups(sets: list[np.ndarray], least: float = SIMILARITY) -> list[int]:
+    """For each set the first one of its group; sets are compared that share a band."""
+    parent = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    buckets, refused = defaultdict(list), set()
+    for i, held in enumerate(sets):
+        for h in bands(held).tolist():
+            buckets[h].append(i)
+    for bucket in buckets.values():
+        parts: dict[int, list[int]] = {}
+        for i in bucket:
+            # The members of this bucket so far, by group: one link joins i to a whole group.
+            for root in list(parts):
+                if find(i) == find(root):
+                    continue
+                for j in reversed(parts[root]):
+                    few, many = sorted((len(sets[i]), len(sets[j])))
+                    if few < least * many or (j, i) in refused:
+                        continue
+                    if similarity(sets[i], sets[j]) >= least:
+                        x, y = find(i), find(j)
+                        parent[max(x, y)] = min(x, y)
+                        break
+                    refused.add((j, i))
+            merged = [x for r in [r for r in parts if find(r) == find(i)] for x in parts.pop(r)]
+            parts[find(i)] = [*merged, i]
+    return [find(i) for i in range(len(sets))]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import xxhash
+
+    for batch in batches:
+        texts, nodes, found = batch.column(2), [], []
+        for i in range(len(texts)):
+            held = shingles(texts[i].as_py())
+            nodes.append(_signed(xxhash.xxh64_intdigest(held.tobytes(), SEED)))
+            found.append(bands(held).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "sig", "node", "bands"])
+
+
+def _verified(key: tuple, table: pa.Table) -> pa.Table:
+    texts, seen = table.column("text"), {}
+    for i, node in enumerate(table.column("node").to_pylist()):
+        if node not in seen:
+            seen[node] = shingles(texts[i].as_py())
+    nodes = sorted(seen)
+    first = groups([seen[n] for n in nodes])
+    return pa.table({"node": pa.array(nodes, pa.int64()), "part": pa.array([nodes[i] for i in first], pa.int64())})
+
+
+def _key() -> list[Column]:
+    """A row's identity: its id and a hash of its text."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_text()).alias("sig")]
+
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, sig, part, component_id) for every row of docs; part names the group, component_id is its smallest id."""
+    prepare(docs.sparkSession)
+    rows = docs.select(*_key(), _text().alias("text"))
+    printed = materialise(rows.mapInArrow(_sketches, "doc_id long, sig long, node long, bands array<long>"), "copies-sketches")
+    nodes = materialise(printed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "sig")).alias("at"), F.first("bands").alias("bands")), "copies-nodes")
+    shared = nodes.select("node", F.explode("bands").alias("band")).groupBy("band").agg(F.array_sort(F.collect_list("node")).alias("held")).where("size(held) > 1")
+    edges = shared.select(F.explode(F.slice("held", 2, F.size("held") - 1)).alias("u"), F.get("held", F.lit(0)).alias("v"))
+    member = components(edges)
+    wanted = nodes.join(member, "node").select("root", "node", F.col("at.doc_id").alias("_id"), F.col("at.sig").alias("_sig"))
+    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig"))).select("root", "node", "text")
+    part = materialise(texts.groupBy("root").applyInArrow(_verified, "node long, part long"), "copies-parts")
+    known = nodes.join(part, "node", "left").select("node", "rep", F.coalesce("part", "node").alias("part"))
+    least = known.groupBy("part").agg(F.min("rep").alias("component_id"))
+    return printed.join(known.select("node", "part").join(least, "part"), "node").select("doc_id", "sig", "part", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group, all columns: that with the smallest id, rows without id last; ties go by a hash of the text."""
+    found = near_copies(docs).groupBy("doc_id", "sig").agg(F.first("part").alias("part"), F.count(F.lit(1)).alias("n"))
+    kept = found.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig", "n")).alias("k"))
+    kept = materialise(kept.select(F.col("k.doc_id").alias("_kept"), F.col("k.sig").alias("_sig"), F.col("k.n").alias("n")), "copies-kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (F.xxhash64(_text()) == F.col("_sig"))
+    chosen = docs.join(kept.select("_kept", "_sig"), same, "left_semi")
+    # Texts are dealt out once more only if such a row is there several times.
+    return chosen if kept.where("n > 1").isEmpty() else chosen.dropDuplicates(["doc_id", "text"])
