@@ -97,7 +97,12 @@ _STRANGE = re.compile(
 )
 #: These alone, at the edge of a base span, make no new span.
 _DASHES_AND_DOTS = set("\u00b7\u2010\u2011\u2012\u2013\u2014\u2015\u2022\u2024\u2212\u3002")
-_SPELLED = ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun", "deux", "trois", "quatre", "cinq", "sept", "huit", "neuf", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve")
+#: Further characters that the rules below read as a space or, ignoring case, as a letter.
+_ODD = re.compile(_STRANGE.pattern[:-1] + "\u0085\u0130\u017f\u1680]")
+_PLUS = ("plus", "más", "mas")
+_SPELLED = "|".join(DIGIT_WORDS)
+#: A number of at least ten digits, some perhaps spelled, on lower-cased text; word edges are left to digit_runs.
+_NUMBER = re.compile(rf"(?:{_SPELLED}|{'|'.join(_PLUS)}|[0-9])(?:[ ().,-]*(?:{_SPELLED}|[0-9])){{9}}")
 
 _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
 _AT = rf"(?:\s*{_OPEN}\s*(?:at|@|arroba|ät)\s*{_CLOSE}\s*|\s+(?:at|arroba)\s+|\s*@\s*)"
@@ -162,7 +167,7 @@ def digit_runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         elif word in DIGIT_WORDS:
             run.append((DIGIT_WORDS[word], m.start(), m.end()))
             spoken = True
-        elif word in ("plus", "más", "mas"):
+        elif word in _PLUS:
             yield from done()
             run, spoken = [("+", m.start(), m.end())], True
         elif word == "+":
@@ -195,13 +200,13 @@ def _spelled_numbers(text: str) -> Iterator[tuple[int, int, int]]:
 
 def disguised_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) in the source of what the normalised text shows."""
-    strange = not text.isascii() and _STRANGE.search(text) is not None
-    low = text.lower()
-    spelled = any(w in low for w in _SPELLED)
-    spoken = _DISGUISES.search(low if len(low) == len(text) else text) is not None
+    strange = not text.isascii() and _ODD.search(text) is not None
+    flat, at = plain_characters(text) if strange else (text, None)
+    # The transducers compose: the tests for spelled numbers and spoken signs see the text in plain form.
+    spelled = _NUMBER.search(flat.lower()) is not None
+    spoken = _DISGUISES.search(flat) is not None
     if not (strange or spelled or spoken):
         return []
-    flat, at = plain_characters(text) if strange else (text, None)
     found = list(base_spans(flat)) if strange else []
     for m in DISGUISED_EMAIL.finditer(flat) if spoken or strange else ():
         bracketed, plain_at = re.search(r"[(\[{<]", m["at"]), m["at"].strip().lower() in ("at", "arroba")
