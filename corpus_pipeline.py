@@ -52,7 +52,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Neither the classifier nor the tokenizer can be said in SQL; tests hold the stages against brute force.
+#: Neither the classifier nor the tokenizer can be said in SQL; tests hold the near-copy stage and parts of the others against brute force, not run() as a whole.
 ORACLE_SQL = None
 
 
