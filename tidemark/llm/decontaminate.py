@@ -16,9 +16,9 @@ longest mask spans is too short to be evidence and never matches.  In items of 6
 substitutions that SIMILARITY allows hide every seed: lost are 4 of 6 single substitutions at 6 words, 1 of 7 at 7, and of pairs 5 of 45 at
 10 words, 3 of 55 at 11, 1 of 66 at 12.
 
-Defined results: null texts have no words; a null doc_id or item_id is kept as such in pairs, and in
-``clean`` a row without doc_id is kept unless its own text matches; rows that repeat a doc_id are one
-document; empty tables give no pairs; other columns are ignored (``clean`` returns them).
+Defined results: null texts have no words; a null doc_id or item_id is kept as such in pairs, each
+text without doc_id is a document of its own (in ``clean`` it stays unless it matches itself); rows
+that repeat a doc_id are one document; empty tables give no pairs; other columns are ignored (``clean`` returns them).
 """
 
 from __future__ import annotations
@@ -63,22 +63,31 @@ def _agreement() -> Column:
     return F.filter(same, lambda x: x.isNotNull())
 
 
+def _own() -> Column:
+    """What tells rows without doc_id apart: a hash of the text; null for the others."""
+    return F.when(F.col("doc_id").cast("long").isNull(), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_hits, matched, window): pairs with a verified overlap, and its best window."""
+    return _pairs(docs, benchmark).drop("_own")
+
+
+def _pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     item = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _hashes(F.col("text")).alias("_b"))
     item = item.withColumn("_s", _seeds(F.col("_b"))).select("item_id", "_b", F.posexplode_outer("_s").alias("_i", "_s")).select("item_id", "_b", "_i", F.explode_outer("_s").alias("_h")).where("_h IS NOT NULL").dropDuplicates(["item_id", "_i", "_h"])
     n = item.count()
-    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hashes(F.col("text")).alias("_w"))
-    doc = doc.withColumn("_s", _seeds(F.col("_w"))).select("doc_id", "_w", F.posexplode_outer("_s").alias("_p", "_s")).select("doc_id", "_w", "_p", F.explode_outer("_s").alias("_h"))
+    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _own().alias("_own"), _hashes(F.col("text")).alias("_w"))
+    doc = doc.withColumn("_s", _seeds(F.col("_w"))).select("doc_id", "_own", "_w", F.posexplode_outer("_s").alias("_p", "_s")).select("doc_id", "_own", "_w", "_p", F.explode_outer("_s").alias("_h"))
     hits = doc.join(F.broadcast(item) if n <= BROADCAST_SEEDS else item, "_h")
-    checked = hits.select("doc_id", "item_id", F.least(F.lit(WINDOW), F.size("_b"), F.size("_w")).alias("_n"), F.size("_b").alias("_size"), _agreement().alias("_same"))
+    checked = hits.select("doc_id", "_own", "item_id", F.least(F.lit(WINDOW), F.size("_b"), F.size("_w")).alias("_n"), F.size("_b").alias("_size"), _agreement().alias("_same"))
     sums = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_same") - F.col("_n") + 1, F.lit(1))), lambda i: F.aggregate(F.slice("_same", i, F.col("_n")), F.lit(0), lambda a, x: a + x))
-    scored = checked.select("doc_id", "item_id", "_n", "_size", F.size("_same").alias("_held"), F.array_max(sums).alias("_m"))
+    scored = checked.select("doc_id", "_own", "item_id", "_n", "_size", F.size("_same").alias("_held"), F.array_max(sums).alias("_m"))
     fits = (F.col("_n") == F.least(F.col("_size"), F.lit(WINDOW))) & (F.col("_held") >= F.col("_n")) & (F.col("_m") >= F.ceil(F.col("_n") * F.lit(SIMILARITY)))
     # The test goes into the aggregate: as a filter it would move into the join and be worked out several times.
     return (
-        scored.groupBy("doc_id", "item_id")
+        scored.groupBy("doc_id", "_own", "item_id")
         .agg(F.count_if(fits).alias("n_hits"), F.max(F.when(fits, F.col("_m"))).cast("long").alias("matched"), F.max(F.when(fits, F.col("_n"))).cast("long").alias("window"))
         .where("n_hits > 0")
     )
@@ -86,8 +95,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that overlap an item; all columns."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_found")), "left_anti")
+    found = _pairs(docs, benchmark).select(F.col("doc_id").alias("_found"), F.col("_own").alias("_text")).distinct()
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_found")) & _own().eqNullSafe(F.col("_text")), "left_anti")
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
