@@ -11,12 +11,12 @@ of its runs, ranked to depth LENGTH by prefix doubling); runs whose minimizer an
 are scanned with that level's runs in one such array; windows that also start earlier are marked.
 The batch then becomes a level, and levels of equal size merge, so there are logarithmically many.
 
-Marked spans come back to their documents, whose covered bytes are removed.  Runs are taken as the same
-if a 64-bit hash of all their bytes, their length and their minimizer agree; all else compares bytes.
+Marked spans come back to their documents, whose covered bytes are removed.  A hash of a run's bytes only
+proposes that two runs are the same: their bytes are compared before one is marked.
 
 Defined results: a null or empty text has no bytes and stays; a text shorter than LENGTH is never
-touched; a null doc_id counts as the largest; rows that repeat a doc_id are ordered by a checksum of
-their text, and rows that repeat both are one document, treated alike; an empty table gives an empty
+touched; a null doc_id counts as the largest; rows that repeat a doc_id are ordered by 63 bits
+of a hash of their text, and rows that repeat both are one document, treated alike; an empty table gives an empty
 table; other columns are ignored.
 """
 
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -118,6 +117,18 @@ def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return out
 
 
+def same_bytes(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each pair: are the `sizes` bytes from a_at in a those from b_at in b?  A part of the pairs at a time."""
+    out, ends, at = np.ones(len(sizes), bool), np.cumsum(sizes), 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE)))
+        part = slice(at, upto)
+        equal = gathered(a, a_at[part], sizes[part]) == gathered(b, b_at[part], sizes[part])
+        out[part] = np.logical_and.reduceat(equal, np.cumsum(sizes[part]) - sizes[part])
+        at = upto
+    return out
+
+
 @dataclass
 class Runs:
     """Runs of windows: minimizer, document (id, checksum), first window's place, windows, bytes."""
@@ -175,15 +186,23 @@ def runs_of(texts: list[bytes], common: np.ndarray) -> tuple[np.ndarray, ...]:
     return mini[starts], text, starts - begin[text], windows, left != right, starts, data
 
 
-def first_rows(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order; of rows with equal keys the first is kept: (its rows, the others)."""
-    order = np.lexsort(keys[::-1])
+def first_runs(runs: Runs, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kept, again, first): each run of `again` has the bytes of the earlier run `first`; kept are the others, in order.
+
+    The hash only proposes: a run whose bytes differ from the first of its hash is kept as well.
+    """
+    order = np.lexsort((hashes, runs.windows, runs.mini))
     same = np.ones(len(order), bool)
-    if len(order):
-        same[0] = False
-        for k in keys:
-            same[1:] &= k[order][1:] == k[order][:-1]
-    return np.sort(order[~same]), order[same]
+    same[:1] = False
+    for k in (runs.mini, runs.windows, hashes):
+        same[1:] &= k[order][1:] == k[order][:-1]
+    first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))][same]
+    again = order[same]
+    real = same_bytes(runs.data, runs.at[again], runs.data, runs.at[first], runs.windows[again] + LENGTH - 1)
+    again, first = again[real], first[real]
+    keep = np.ones(len(order), bool)
+    keep[again] = False
+    return np.flatnonzero(keep), again, first
 
 
 def suffix_ranks(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
@@ -224,7 +243,7 @@ class Family:
     """The index: levels of runs ordered by minimizer, sizes at least doubling."""
 
     def __init__(self):
-        self.levels: list[tuple[Runs, np.ndarray]] = []
+        self.levels: list[tuple[Runs, np.ndarray, np.ndarray]] = []  # runs, their hashes ascending, whose each hash is
 
     def add(self, batch: Runs) -> list[tuple[np.ndarray, ...]]:
         """Marks the batch's windows that start earlier as well; returns (doc, sig, start, end) of spans."""
@@ -234,12 +253,14 @@ class Family:
             marked.append((batch.doc[index], batch.sig[index], batch.pos[index], batch.pos[index] + batch.windows[index] + LENGTH - 1))
 
         hashes = run_hashes(batch.data, batch.at, batch.windows + LENGTH - 1)
-        kept, again = first_rows(batch.mini, hashes, batch.windows)
+        kept, again, _ = first_runs(batch, hashes)
         whole(again)
         known = np.zeros(len(kept), bool)
-        for level, level_hashes in self.levels:  # the same run in a level: nothing more to look at
-            at = np.searchsorted(level_hashes, hashes[kept])
-            known |= level_hashes[np.minimum(at, len(level_hashes) - 1)] == hashes[kept]
+        for level, level_hashes, owner in self.levels:  # the same run in a level: nothing more to look at
+            at = np.minimum(np.searchsorted(level_hashes, hashes[kept]), len(level_hashes) - 1)
+            run = owner[at]
+            hit = np.flatnonzero((level_hashes[at] == hashes[kept]) & (level.windows[run] == batch.windows[kept]) & ~known)
+            known[hit] = same_bytes(batch.data, batch.at[kept[hit]], level.data, level.at[run[hit]], batch.windows[kept[hit]] + LENGTH - 1)
         whole(kept[known])
         kept = kept[~known]
         new, new_hashes = batch.take(kept), hashes[kept]
@@ -247,7 +268,7 @@ class Family:
             values, counts = np.unique(new.mini, return_counts=True)
             shared = new.twice | np.isin(new.mini, values[counts > 1])
             old = []
-            for level, _ in self.levels:
+            for level, _, _ in self.levels:
                 lo, hi = np.searchsorted(level.mini, values, "left"), np.searchsorted(level.mini, values, "right")
                 if (hit := hi > lo).any():
                     n = hi[hit] - lo[hit]
@@ -256,16 +277,19 @@ class Family:
             if shared.any():
                 scanned = new.take(np.flatnonzero(shared))
                 marked.append(_spans(scanned, repeated_windows(joined(old) if old else None, scanned)))
-            order = np.argsort(new.mini, kind="stable")
-            self._put(new.take(order, compact=True), np.sort(new_hashes))
+            self._put(new, new_hashes)
         return marked
 
     def _put(self, runs: Runs, hashes: np.ndarray) -> None:
         while self.levels and len(self.levels[-1][0]) < 2 * len(runs):
-            level, level_hashes = self.levels.pop()
-            both = joined([level, runs])
-            runs, hashes = both.take(np.argsort(both.mini, kind="stable"), compact=True), np.sort(np.concatenate([level_hashes, hashes]))
-        self.levels.append((runs, hashes))
+            level, level_hashes, owner = self.levels.pop()
+            of_level = np.empty_like(level_hashes)
+            of_level[owner] = level_hashes
+            runs, hashes = joined([level, runs]), np.concatenate([of_level, hashes])
+        order = np.argsort(runs.mini, kind="stable")
+        runs, hashes = runs.take(order, compact=True), hashes[order]
+        owner = np.argsort(hashes, kind="stable")
+        self.levels.append((runs, hashes[owner], owner))
 
 
 def _spans(runs: Runs, repeated: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -294,7 +318,9 @@ def _unpacked(data: bytes) -> tuple:
 
 
 def _checksum(text: bytes) -> int:
-    return zlib.crc32(text)
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text) >> 1
 
 
 def _bucket(doc: np.ndarray, sig: np.ndarray, buckets: int) -> np.ndarray:
@@ -334,9 +360,11 @@ def _sent(shards: int, buckets: int, shared):
             found, hashes = joined([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             out = []
             if len(found):
-                kept, again = first_rows(found.mini, hashes, found.windows)
+                kept, again, first = first_runs(found, hashes)
                 # Rows that repeat (id and checksum) are one document: its run isn't earlier than itself.
-                out += _span_rows(_unless_same(found, kept, again, hashes), buckets)
+                real = (found.doc[first] != found.doc[again]) | (found.sig[first] != found.sig[again]) | (found.pos[first] != found.pos[again])
+                again = again[real]
+                out += _span_rows([(found.doc[again], found.sig[again], found.pos[again], found.pos[again] + found.windows[again] + LENGTH - 1)], buckets)
                 shard = (_mixed(found.mini[kept]) >> np.uint64(33)).astype(np.int64) % shards
                 order = np.argsort(shard, kind="stable")
                 for some in np.split(kept[order], np.flatnonzero(np.diff(shard[order])) + 1):
@@ -366,17 +394,6 @@ def _sent(shards: int, buckets: int, shared):
     return run
 
 
-def _unless_same(found: Runs, kept: np.ndarray, again: np.ndarray, hashes: np.ndarray) -> list[tuple[np.ndarray, ...]]:
-    """Spans of the runs `again`, but for those at the same document and place as the one that is kept."""
-    if not len(again):
-        return []
-    order = kept[np.argsort(hashes[kept], kind="stable")]
-    first = order[np.searchsorted(hashes[order], hashes[again])]
-    real = (found.doc[first] != found.doc[again]) | (found.sig[first] != found.sig[again]) | (found.pos[first] != found.pos[again])
-    again = again[real]
-    return [(found.doc[again], found.sig[again], found.pos[again], found.pos[again] + found.windows[again] + LENGTH - 1)]
-
-
 def _indexed(buckets: int, batch_windows: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() == 1:
