@@ -7,8 +7,9 @@ digits, "plus" a plus, and at/dot disguises become @ and '.'.  Identifiers found
 text map back to the source; those that touch no base span of their kind, or that widen one over
 disguised characters, are added.
 
-Only a text that holds some sign of a disguise is normalised; the tests for such signs are exact
-preconditions of the rewriting rules.  Offsets are code points, ends exclusive.  Counts (n_*) are of
+Only a text that holds some sign of a disguise is normalised; a test holds that choice against
+normalising every text.  Every pattern takes time in proportion to the text: identifiers are looked for
+around their signs and in runs of digits, never from each character of a long word.  Offsets are code points, ends exclusive.  Counts (n_*) are of
 base spans; n_added counts the others.
 
 Defined results: a null or empty text has no spans; rows that repeat each get a row; null ids are
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,12 +31,14 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import doc_rows, prepare
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: Four parts or more.
+_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++){3,}+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
+_SPACE = re.compile(r"\s")
 
 
 def luhn(digits: str) -> bool:
@@ -46,16 +50,31 @@ def luhn(digits: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """All matches of EMAIL, in linear time: one look to the left and one to the right of each @."""
     at, done = text.find("@"), 0
-    while at >= 0:  # a match holds no white space, so only words with an @ are looked at
+    while at >= 0:
         a = at
-        while a > done and text[a - 1] not in " \t\n\x0b\x0c\r":
+        while a > done and text[a - 1] in _LOCAL:
             a -= 1
-        b = _WORD.match(text, at).end()
-        for m in EMAIL.finditer(text, a, b):
-            yield m.span()
-        done = b
-        at = text.find("@", b)
+        if a < at and (m := _DOMAIN.match(text, at + 1)):
+            done = m.end()
+            yield a, done
+        at = text.find("@", max(at + 1, done))
+
+
+def octet(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
+def _ips(text: str) -> Iterator[tuple[int, int, bool]]:
+    """All matches of IP, in linear time: every four parts of a run of numbers and dots; (start, end, all parts fit)."""
+    for run in _DOTTED.finditer(text):
+        at, parts = run.start(), run[0].split(".")
+        for i in range(0, len(parts) - 3, 4):
+            end = at + sum(map(len, parts[i : i + 4])) + 3
+            yield at, end, all(map(octet, parts[i : i + 4]))
+            at = end + 1
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -63,14 +82,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         if "." in text:
-            out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            out += [(a, 1, b) for a, b, fits in _ips(text) if fits]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 14:
                 digits = m[0].replace(" ", "").replace("-", "")
                 if 14 <= len(digits) <= 19 and luhn(digits):
                     out.append((m.start(), 2, m.end()))
         if "+" in text:
-            out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= sum(map(str.isdigit, m[0])) <= 15]
+            out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(_DIGIT.findall(m[0])) <= 15]
     return sorted(out)
 
 
@@ -105,10 +124,15 @@ _SPELLED = "|".join(DIGIT_WORDS)
 _NUMBER = re.compile(rf"(?:{_SPELLED}|{'|'.join(_PLUS)}|[0-9])(?:[ ().,-]*(?:{_SPELLED}|[0-9])){{9}}")
 
 _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
-_AT = rf"(?:\s*{_OPEN}\s*(?:at|@|arroba|ät)\s*{_CLOSE}\s*|\s+(?:at|arroba)\s+|\s*@\s*)"
+#: The at-sign without the white space around it.
+_AT = re.compile(rf"(?P<sign>{_OPEN}\s*(?:at|@|arroba|ät)\s*{_CLOSE}|@)|(?<=\s)(?P<word>at|arroba)(?=\s)", re.I)
 _DOT = rf"(?:\s*{_OPEN}\s*(?:dot|punkt|point|punto|\.)\s*{_CLOSE}\s*|\s+(?:dot|punkt|punto)\s+|\s*\.(?=[A-Za-z0-9]))"
-_NAME = r"[A-Za-z0-9_%+-]+"
-DISGUISED_EMAIL = re.compile(rf"{_NAME}(?:{_DOT}{_NAME})*(?P<at>{_AT})[A-Za-z0-9-]+(?P<dots>(?:{_DOT}[A-Za-z0-9-]+)+)", re.I)
+_NAME = r"[A-Za-z0-9_%+-]++"
+_HOST = r"[A-Za-z0-9-]++"
+_RIGHT = re.compile(rf"\s*+{_HOST}(?P<dots>(?:{_DOT}{_HOST})+)", re.I)
+#: What stands before an at-sign, on the reversed text.
+_TOD = rf"(?:\s*{_CLOSE}\s*(?:tod|tknup|tniop|otnup|\.)\s*{_OPEN}\s*|\s+(?:tod|tknup|otnup)\s+|(?<=[A-Za-z0-9])\.\s*)"
+_LEFT = re.compile(rf"\s*+{_NAME}(?:{_TOD}{_NAME})*", re.I)
 DISGUISED_IP = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _ONE_DOT = re.compile(_DOT, re.I)
 _SPOKEN_DOT = re.compile(r"(?:dot|punkt|point|punto)|[(\[{<]", re.I)
@@ -162,7 +186,6 @@ def digit_runs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     for m in _TOKENS.finditer(text):
         word = m[0].lower()
         if word[0].isdigit() and word.isascii():
-            # Digits that touch a letter are no part of a run of their own.
             run.append((word, m.start(), m.end())) if len(word) == 1 else run.extend((c, m.start() + i, m.start() + i + 1) for i, c in enumerate(word))
         elif word in DIGIT_WORDS:
             run.append((DIGIT_WORDS[word], m.start(), m.end()))
@@ -198,6 +221,26 @@ def _spelled_numbers(text: str) -> Iterator[tuple[int, int, int]]:
                     yield where[m.start()][0], kind, where[m.end() - 1][1]
 
 
+def _disguised_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses around an at-sign in any form: one look to the left and one to the right of each."""
+    back, n, done = None, len(text), 0
+    for m in _AT.finditer(text):
+        right = _RIGHT.match(text, m.end())
+        if right is None:
+            continue
+        dots = right["dots"]
+        # A bare "at" is a common word: then every dot must be spelled or bracketed too.
+        if m["word"] and not all(_SPOKEN_DOT.search(d) for d in _ONE_DOT.findall(dots)):
+            continue
+        back = text[::-1] if back is None else back
+        left = _LEFT.match(back, n - m.start(), n - done)
+        if left is None:
+            continue
+        a, done = n - left.end(), right.end()
+        if m[0] != "@" or _SPOKEN_DOT.search(dots) or not _SPACE.search(text, a, done):
+            yield a, done
+
+
 def disguised_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) in the source of what the normalised text shows."""
     strange = not text.isascii() and _ODD.search(text) is not None
@@ -208,17 +251,11 @@ def disguised_spans(text: str) -> list[tuple[int, int, int]]:
     if not (strange or spelled or spoken):
         return []
     found = list(base_spans(flat)) if strange else []
-    for m in DISGUISED_EMAIL.finditer(flat) if spoken or strange else ():
-        bracketed, plain_at = re.search(r"[(\[{<]", m["at"]), m["at"].strip().lower() in ("at", "arroba")
-        # A bare "at" is a common word: then every dot must be spelled or bracketed too.
-        if plain_at and not all(_SPOKEN_DOT.search(d) for d in _ONE_DOT.findall(m["dots"])):
-            continue
-        if not (plain_at or bracketed) and not _SPOKEN_DOT.search(m["dots"]) and re.search(r"\s", m[0]):
-            continue
-        found.append((m.start(), 0, m.end()))
+    if spoken or strange:
+        found += [(a, 0, b) for a, b in _disguised_emails(flat)]
     if spoken:
         for m in DISGUISED_IP.finditer(flat):
-            if _SPOKEN_DOT.search(m[0]) and all(int(p) <= 255 for p in re.findall(r"[0-9]+", m[0])):
+            if _SPOKEN_DOT.search(m[0]) and all(map(octet, re.findall(r"[0-9]+", m[0]))):
                 found.append((m.start(), 1, m.end()))
     if spelled:
         found += _spelled_numbers(flat)
@@ -230,14 +267,19 @@ def disguised_spans(text: str) -> list[tuple[int, int, int]]:
 def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and base spans with those that the normalised text adds."""
     base = base_spans(text)
-    taken = {k: [(a, b) for a, kind, b in base if kind == k] for k in range(4)}
     out = list(base)
+    own = [[(a, b) for a, kind, b in base if kind == k] for k in range(4)]
+    ends = [[b for _, b in spans] for spans in own]
+    added: list[list[tuple[int, int]]] = [[], [], [], []]  # those that may still touch a later one
     for a, k, b in disguised_spans(text):
-        met = [(x, y) for x, y in taken[k] if x < b and a < y]
+        i = bisect_right(ends[k], a)  # base spans of a kind don't overlap
+        met = own[k][i : bisect_left(own[k], (b, 0))]
+        added[k] = [x for x in added[k] if x[1] > a]
+        met += added[k]
         # A span that only grows a known one must owe that to a disguised letter or digit.
         wider = met and all(a <= x and y <= b for x, y in met) and any(not c.isascii() and _STRANGE.match(c) and c not in _DASHES_AND_DOTS for x, y in met[:1] for c in text[a:x] + text[y:b])
         if not met or wider and (a, b) not in met:
-            taken[k].append((a, b))
+            added[k].append((a, b))
             out.append((a, k, b))
     return base, sorted(out)
 
