@@ -1,9 +1,11 @@
-"""The pipeline's near-copy stage against brute force over all pairs, with nulls, empty texts and repeats."""
+"""Near copies by wide fingerprints and exact shingle sets, against brute force over all pairs."""
 
 import random
 
-import corpus_pipeline
-from tidemark.llm import near_copies
+import numpy as np
+import pytest
+
+from tidemark.llm import simhash
 
 
 def sets(text):
@@ -18,17 +20,19 @@ def alike(a, b):
 def corpus():
     r, rows = random.Random(11), []
     for _ in range(60):
-        words = [f"w{r.randint(0, 10**6)}" for _ in range(r.choice((3, 40, 200, 400)))]
+        words = [f"w{r.randint(0, 10**6)}" for _ in range(r.choice((3, 12, 40, 200, 400)))]
         rows.append(words)
         for changes in (1, 2, 3, 8, 14, 30):
             copy = list(words)
             for i in r.sample(range(len(copy)), min(changes, len(copy))):
                 copy[i] = f"x{r.randint(0, 10**6)}"
             rows.append(copy)
+        rows.append([*words, "tail"])
     return [(i, " ".join(w)) for i, w in enumerate(rows)]
 
 
-def test_groups_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("component_bytes", [simhash.COMPONENT_BYTES, 2000])
+def test_groups_are_those_of_all_pairs(spark, component_bytes):
     rows = [*corpus(), (9000, None), (9001, ""), (9002, "   ")]
     held = {d: sets(t) for d, t in rows}
     group = {d: d for d in held}
@@ -37,12 +41,42 @@ def test_groups_are_those_of_all_pairs(spark):
         if new == group:
             break
         group = new
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    docs = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, kept_id int")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs, component_bytes, tile=100).collect()}
     assert got == group
-    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(group.values()))
-    assert near_copies.near_copies(docs.limit(0)).count() == 0
+    if component_bytes == simhash.COMPONENT_BYTES:
+        kept = simhash.one_of_each(docs)
+        assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(group.values()))
+        assert simhash.near_copies(docs.limit(0)).count() == 0
+
+
+def test_candidates_hold_pairs_at_the_similarity():
+    r = np.random.default_rng(4)
+    missed = 0
+    for n in (4, 5, 9, 20, 100, 1000):
+        for _ in range(300):
+            a = np.unique(r.integers(0, 1 << 63, n, np.uint64))
+            common = -(-8 * 2 * n // 18)  # the least that gives 0.8 for sets of one size
+            b = np.unique(np.concatenate([a[r.permutation(n)[:common]], r.integers(0, 1 << 63, n - common, np.uint64)]))
+            if len(np.intersect1d(a, b)) / len(np.union1d(a, b)) >= 0.8:
+                x, y = (np.array(simhash.lanes_of(s), np.uint64) for s in (a, b))
+                d = np.bitwise_count(x ^ y)
+                missed += d[:2].sum() > simhash.HALF_RADIUS or d.sum() > simhash.COPY_RADIUS
+    assert not missed
+
+
+def test_linked_sets_are_those_of_all_pairs():
+    r = random.Random(3)
+    base = [r.sample(range(1000), 40) for _ in range(4)]
+    some = [np.unique(np.array(r.sample(b, r.randint(30, 40)) + r.sample(range(1000, 2000), r.randint(0, 4)), np.uint64)) for b in base for _ in range(25)]
+    some += [np.zeros(0, np.uint64)] * 2
+    group = list(range(len(some)))
+    while True:
+        new = [min(group[j] for j, y in enumerate(some) if alike(set(x.tolist()), set(y.tolist()))) for x in some]
+        if new == group:
+            break
+        group = new
+    assert simhash.linked_sets(some).tolist() == group
 
 
 def test_one_word_of_200_replaced_is_a_copy(spark):
@@ -52,12 +86,12 @@ def test_one_word_of_200_replaced_is_a_copy(spark):
         words = [f"v{r.randint(0, 10**6)}" for _ in range(200)]
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:100], "other", *words[101:]]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == list(range(0, 100, 2))
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == list(range(0, 100, 2))
 
 
 def test_null_and_repeated_ids_follow_their_own_group(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(50)) for x in "abc")
     rows = [(1, a), (None, a + " more"), (None, b), (None, b), (None, b + " more"), (2, c), (2, a), (2, c)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [(r["doc_id"], r["text"]) for r in near_copies.one_of_each(docs).collect()]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect()]
     assert len(kept) == 3 and {(1, a), (2, c)} < set(kept) and next(t for d, t in kept if d is None) in (b, b + " more")

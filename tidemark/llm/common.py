@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,9 +45,11 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is made only where that setting is absent (tests)."""
+    """The folder in spark.checkpoint.dir.  Only a local master may do without: then it is a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -52,14 +57,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths written by this process and not yet removed.
+_written: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_remove_written)
+    _written.append(path)
+    return path
+
+
+def _remove_written() -> None:
+    """At the end of the process: what is still there goes, if the session is still alive."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        for path in list(_written):
+            with suppress(Exception):  # the JVM may be gone
+                remove_path(spark, path)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Removes what is written inside, but for the paths that the caller puts in the list."""
+    before, keep = set(_written), []
+    yield keep
+    for path in [x for x in _written if x not in before and x not in keep]:
+        remove_path(spark, path)
+
+
+def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: a cut of the lineage that outlives executors."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = path or new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -68,6 +99,37 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _written:
+        _written.remove(path)
+
+
+#: Keys that hold a share of 1/HOT or more of all rows count as hot: there are HOT of them at most.
+HOT = 1024
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], count: str, own: list[str]) -> DataFrame:
+    """rows joined with table (one row a key, `count`: about how many of rows hold it), without a task for a hot key.
+
+    Hot keys, HOT at most, are broadcast; rows that meet one are dealt out by a hash of `own` and their place instead.
+    The others shuffle by key.  table is read three times, so it should be written already.
+    """
+    values = [c for c in table.columns if c not in keys and c != count]
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * HOT >= max(total, HOT)
+    few = table.where(hot).select(*keys, F.struct(*values).alias("_few"))
+    rest = table.where(~hot).select(*keys, F.lit(0).cast("long").alias("_deal"), F.struct(*values).alias("_rest"))
+    deal = F.when(F.col("_few").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(*own, F.monotonically_increasing_id()))
+    met = rows.join(F.broadcast(few), keys, "left").withColumn("_deal", deal).join(rest, [*keys, "_deal"], "left")  # HOT rows at most
+    met = met.withColumn("_few", F.coalesce("_few", "_rest")).where("_few IS NOT NULL")
+    return met.select(*rows.columns, *[F.col("_few")[v].alias(v) for v in values])
 
 
 def doc_rows(docs: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 DataFrame functions only.  The plan is: lines exploded in the scan stage; a hash aggregate whose map
 side folds a hot line to one row per task; a join of the narrow line rows (128 bits of hash, id,
-position) with the repeated hashes, which AQE splits where a hash is hot; positions gathered per
-document; one join by document that brings positions and texts together.
+position) with the repeated hashes, where the few hot ones are broadcast and their lines dealt out
+evenly; positions gathered per document; one join by document that brings positions and texts together.
 
 Defined results: a null text is the empty text, that is one empty line; a null doc_id counts as the
 largest id, and all rows without id as one document; rows that repeat a doc_id are one document for
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ASCII_SPACE, LOWER, UPPER, prepare
+from tidemark.llm.common import ASCII_SPACE, LOWER, UPPER, materialise, prepare, spread_join
 
 LAST_ID = (1 << 63) - 1
 MIN_CODE_POINTS = 10
@@ -46,11 +46,12 @@ def repeated_positions(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS,
         .select("_id", "_sig", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"))
     )
     if min_documents <= 2:  # at least two ids: the smallest isn't the largest, which needs no distinct count
-        held = line.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-        held = held.where("_first < _last" if min_documents == 2 else "true")
+        held = line.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"), F.count(F.lit(1)).alias("_n"))
+        held = held.where("_first < _last" if min_documents == 2 else "true").drop("_last")
     else:
-        held = line.select("_h1", "_h2", "_id").distinct().groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_documents)
-    lost = line.join(held.select("_h1", "_h2", "_first"), ["_h1", "_h2"]).where("_id > _first")
+        each = line.groupBy("_h1", "_h2", "_id").agg(F.count(F.lit(1)).alias("_m"))
+        held = each.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.sum("_m").alias("_n"), F.count(F.lit(1)).alias("_d")).where(F.col("_d") >= min_documents).drop("_d")
+    lost = spread_join(line, materialise(held, "line-repeats"), ["_h1", "_h2"], "_n", ["_id", "_sig", "_pos"]).where("_id > _first")
     return lost.groupBy("_id", "_sig").agg(F.concat(F.array(F.lit(-1)), F.array_sort(F.collect_set("_pos"))).alias("_cuts"))
 
 
@@ -61,10 +62,11 @@ def _kept(lines: Column, cuts: Column) -> Column:
     return F.array_join(F.flatten(runs), "\n")
 
 
-def clean(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """All columns of docs with `text` cleaned, and n_lines, n_dropped (renames nothing; docs must not have these two).
+def clean(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_documents: int = MIN_DOCUMENTS, counts: tuple[str, str] | None = None) -> DataFrame:
+    """All columns of docs with `text` cleaned; a document whose lines all go keeps its row with an empty text.
 
-    A document whose lines all go keeps its row with an empty text.
+    With counts, two more columns of these names, in place of docs' own if it has such: the lines
+    before, and the lines dropped.
     """
     prepare(docs.sparkSession)
     cuts = repeated_positions(docs, min_code_points, min_documents)
@@ -78,13 +80,14 @@ def clean(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_documents
         F.size("_lines").cast("long").alias("_n_lines"),
         F.coalesce(F.size("_cuts") - 1, F.lit(0)).cast("long").alias("_n_dropped"),
     )
-    columns = [F.col("_text").alias("text") if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns]
-    return out.select(*columns, F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+    new = {} if counts is None else {counts[0]: "_n_lines", counts[1]: "_n_dropped"}
+    columns = [F.col("_text").alias("text") if c == "text" else F.col("_rest")[c].alias(c) for c in docs.columns if c not in new]
+    return out.select(*columns, *[F.col(c).alias(name) for name, c in new.items()])
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = clean(docs)
+    out = clean(docs, counts=("n_lines", "n_dropped"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

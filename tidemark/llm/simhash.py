@@ -1,18 +1,28 @@
 """SimHash near-dedup: tiled exact comparison with numpy exclusive-or and bit counts.
 
-1. Fingerprints are computed next to the scan, one document at a time.
-2. Distinct fingerprints are grouped in tiles of one population count, split by a hash where a tile
-   would pass TILE rows.  Two fingerprints within the radius differ in population count by at most the
-   radius, so only tile pairs within it meet; each such pair is one group of two packed rows.
-3. Within a pair, rows are ordered by the population count of their upper half, which rules out
-   further blocks; the rest is compared exactly.  A task returns a spanning forest of the links it
-   found, at most one edge a fingerprint, so a large group of copies never becomes all its pairs.
+1. Fingerprints are computed next to the scan, one document at a time: LANES words of 64 bits each.
+2. Distinct nodes are grouped in tiles of one population count, split by a hash where a tile would pass
+   TILE rows.  Fingerprints within the radius differ in population count by at most the radius, so
+   only such tile pairs meet; each pair is one group of two packed rows.
+3. Within a pair, one lane: rows are ordered by the population count of their upper half, which rules
+   out further blocks; several lanes: the first half of them decides for most rows.  A task returns a
+   spanning forest of the links it found, at most one edge a node, so a large group of copies never
+   becomes all its pairs.
 4. Components of the forest by alternating large and small stars over DataFrames.
 
-Defined results: a null or empty text has no words and the fingerprint zero, linked like any other;
-texts of fewer than four words are one shingle; rows that repeat a doc_id each get their row;
-a null doc_id keeps its row and never names a component unless all its component's ids are null
-(then component_id is null); an empty table gives an empty table; other columns are ignored.
+``near_duplicates`` links fingerprints of one lane within a radius.  ``near_copies`` uses a fingerprint
+of several lanes, wide enough that a pair at SIMILARITY is within COPY_RADIUS but for about one in a
+hundred thousand, and then lets the shingle sets decide: linked is what has that Jaccard similarity
+exactly.  A component of candidates that fills more than COMPONENT_BYTES is dealt to pairs of tiles.
+
+Comparisons grow with the square of the distinct nodes; that is the method.  A tile pair takes some
+20 seconds at most, whatever the input.
+
+Defined results: a null or empty text has no words: fingerprint zero, or an empty shingle set, linked
+like any other; texts of fewer words than a shingle are one shingle; rows that repeat a doc_id each
+get their row; a null doc_id keeps its row and never names a component unless all its component's ids
+are null (then component_id is null); an empty table gives an empty table; other columns are ignored
+(``one_of_each`` returns them, whatever their names).
 """
 
 from __future__ import annotations
@@ -22,37 +32,76 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import doc_rows, materialise, prepare
+from tidemark.llm.common import doc_rows, fresh, materialise, prepare, spread_join
 
 SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
-#: Fingerprints of a tile at most (on average, where a population count is split): 0.5 MB packed.
-TILE = 65_536
+#: Nodes of a tile at most (on average, where a population count is split): 1 MB a lane.
+TILE = 131_072
+#: The near copies' shingles, similarity, lanes, and the radius for half of the lanes and for all.
+COPY_WORDS, SIMILARITY = 5, 0.8
+LANES, HALF_RADIUS, COPY_RADIUS = 4, 45, 76
+COPY_TILE = 65_536
+COMPONENT_BYTES = 64 << 20
+#: Rows of narrow tables that are broadcast at most: 64 bytes each.
+BROADCAST_ROWS = 1 << 20
 _CELLS = 1 << 19
+_GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
-    """64 bits: a bit is set if it is set in over half of the shingles' hashes; no words give zero."""
+def shingle_hashes(text: str, words_each: int) -> np.ndarray:
+    """XXH64 of each shingle in order; words are lower-cased A-Z, white space is ASCII's."""
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()  # both ASCII only on bytes
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     buffer, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if len(words) <= words_each:
-        return digest(buffer, SEED)
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends]
-    counts, n = np.zeros(64, np.int64), len(words) - words_each + 1
-    for at in range(0, n, _CELLS):
-        upto = min(n, at + _CELLS)
-        hashes = np.array([digest(buffer[a : b - 1], SEED) for a, b in zip(starts[at:upto], ends[at + words_each - 1 : upto + words_each - 1])], np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist())
+    last = ends[words_each - 1 :] or ends[-1:]
+    return np.fromiter((digest(buffer[a : b - 1], SEED) for a, b in zip(starts, last)), np.uint64, len(last))
+
+
+def lane(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Another hash of each hash; lane 0 is the hash itself."""
+    if not number:
+        return hashes
+    x = hashes + _GOLDEN * np.uint64(number)
+    x = (x ^ (x >> np.uint64(30))) * _M1
+    x = (x ^ (x >> np.uint64(27))) * _M2
+    return x ^ (x >> np.uint64(31))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits: a bit is set if it is set in over half of the hashes; of a half, or of none, it isn't."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _CELLS):
+        counts += np.unpackbits(hashes[at : at + _CELLS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return sum(1 << i for i in np.flatnonzero(2 * counts > len(hashes)).tolist())
+
+
+def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
+    return majority(shingle_hashes(text, words_each))
+
+
+def shingle_set(text: str, words_each: int = COPY_WORDS) -> np.ndarray:
+    return np.unique(shingle_hashes(text, words_each))
+
+
+def lanes_of(held: np.ndarray, lanes: int = LANES) -> list[int]:
+    """The set's fingerprint; an even set counts its least hash twice, so that no bit is undecided."""
+    if len(held) and len(held) % 2 == 0:
+        held = np.append(held, held[0])
+    return [majority(lane(held, i)) for i in range(lanes)]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +111,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near_one(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of a and b (each ordered by its upper half's population count) within the radius."""
     ha, hb = (np.bitwise_count(x >> np.uint64(32)).astype(np.int64) for x in (a, b))
     delta = int(np.bitwise_count(a[0])) - int(np.bitwise_count(b[0]))
@@ -81,14 +130,31 @@ def _near(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarra
             yield ii + i, jj + left
 
 
-def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A forest over the fingerprints of one tile (b None) or two that joins all that are linked."""
-    order = lambda x: x[np.argsort(np.bitwise_count(x >> np.uint64(32)), kind="stable")]
-    a = order(a)
-    other = a if b is None else order(b)
-    nodes = a if b is None else np.concatenate([a, other])
-    shift = 0 if b is None else len(a)
-    root = np.arange(len(nodes))
+def _near_wide(a: np.ndarray, b: np.ndarray, half: int, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within `half` over the first half of the lanes and within the radius over all."""
+    first = a.shape[1] // 2
+    columns = [np.ascontiguousarray(b[:, k]) for k in range(first)]
+    width = 1 << 14
+    for i in range(0, len(a), 32):
+        rows = a[i : i + 32]
+        for j in range(i if same else 0, len(b), width):
+            x = np.bitwise_count(rows[:, :1] ^ columns[0][None, j : j + width])
+            for k in range(1, first):
+                x += np.bitwise_count(rows[:, k : k + 1] ^ columns[k][None, j : j + width])
+            ii, jj = np.nonzero(x <= half)
+            if len(ii):
+                ii, jj = ii + i, jj + j
+                near = np.bitwise_count(a[ii] ^ b[jj]).sum(1, dtype=np.int64) <= radius
+                yield ii[near], jj[near]
+
+
+def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int, half: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(child, root): a forest over the rows of one tile (b None) or two, a's first, that joins all that are linked.
+
+    Rows are words of 64 bits, or several of them each; half is the bound for the first half of these.
+    """
+    n = len(a) + (0 if b is None else len(b))
+    root = np.arange(n)
     parent = root.tolist()
 
     def find(x: int) -> int:
@@ -97,14 +163,19 @@ def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np
             x = parent[x]
         return x
 
-    for ii, jj in _near(a, other, radius):
-        jj = jj + shift
+    if a.ndim == 1:
+        place = [np.argsort(np.bitwise_count(x >> np.uint64(32)), kind="stable") for x in ([a] if b is None else [a, b])]
+        pairs = _near_one(a[place[0]], a[place[0]] if b is None else b[place[1]], radius)
+    else:
+        place = [np.arange(len(a)), np.arange(0 if b is None else len(b))]
+        pairs = _near_wide(a, a if b is None else b, half, radius, b is None)
+    for ii, jj in pairs:
+        ii, jj = place[0][ii], place[-1 if b is not None else 0][jj] + (0 if b is None else len(a))
         new = root[ii] != root[jj]
         ii, jj = ii[new], jj[new]
         if not len(ii):
             continue
-        pairs = np.unique(np.stack([root[ii], root[jj]], 1), axis=0)
-        for x, y in pairs.tolist():
+        for x, y in np.unique(np.stack([root[ii], root[jj]], 1), axis=0).tolist():
             x, y = find(x), find(y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
@@ -112,36 +183,51 @@ def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np
         while not np.array_equal(flat, up := flat[flat]):
             flat = up
         root, parent = flat, flat.tolist()
-    child = np.flatnonzero(root != np.arange(len(nodes)))
-    return nodes[child], nodes[root[child]]
+    child = np.flatnonzero(root != np.arange(n))
+    return child, root[child]
 
 
-def _compare(radius: int):
+def _compare(radius: int, half: int | None):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        tiles = {s.as_py(): np.asarray(f.values).view(np.uint64) for s, f in zip(table.column("side"), table.column("fps"))}
-        u, v = spanning_links(tiles[0], tiles.get(1), radius)
-        return pa.table({"u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
+        nodes, words = {}, {}
+        for side, packed in zip(table.column("side").to_pylist(), table.column("packed")):
+            held = packed.values
+            nodes[side], lanes = held.field("node"), held.field("lanes")
+            flat = np.asarray(lanes.flatten()).view(np.uint64)
+            words[side] = flat if half is None else flat.reshape(len(held), -1)
+        u, v = spanning_links(words[0], words.get(1), radius, half)
+        all_nodes = pa.concat_arrays([nodes[s] for s in sorted(nodes)])
+        return pa.table({"u": all_nodes.take(pa.array(u)), "v": all_nodes.take(pa.array(v))})
 
     return run
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(u, v): edges that connect exactly the fingerprints that are reachable over links; nodes has distinct fp."""
+def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int | None = None) -> DataFrame:
+    """(u, v): edges that connect exactly the nodes that are reachable over links.
+
+    nodes: distinct `node`, and `lanes`, its fingerprint as an array of longs.
+    """
     spark = nodes.sparkSession
-    counted = nodes.groupBy(F.bit_count("fp").cast("int").alias("p")).count().collect()  # 65 rows at most
+    kind = nodes.schema["node"].dataType.simpleString()
+    bits = F.aggregate("lanes", F.lit(0), lambda n, x: n + F.bit_count(x).cast("int"))
+    counted = nodes.groupBy(bits.alias("p")).count().collect()  # a row for each population count
     splits = {r["p"]: -(-r["count"] // tile) for r in counted}
     if not splits:
-        return nodes.select(F.col("fp").alias("u"), F.col("fp").alias("v")).where("false")
+        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false")
+    if half is not None:  # the radius rules out next to nothing: tiles need not keep to one count
+        low, total = min(splits), sum(r["count"] for r in counted)
+        splits = {low: -(-total // tile)}
+        bits = F.lit(low)
     table = spark.createDataFrame(sorted(splits.items()), "p int, m int")
     tiles = (
-        nodes.withColumn("p", F.bit_count("fp").cast("int")).join(F.broadcast(table), "p")  # 65 rows at most
-        .groupBy("p", F.pmod(F.xxhash64("fp"), F.col("m")).cast("int").alias("s")).agg(F.collect_list("fp").alias("fps"))
+        nodes.withColumn("p", bits).join(F.broadcast(table), "p")  # a row for each population count
+        .groupBy("p", F.pmod(F.xxhash64("node"), F.col("m")).cast("int").alias("s")).agg(F.collect_list(F.struct("node", "lanes")).alias("packed"))
     )
     near = spark.createDataFrame([(p, q, m) for p in splits for q, m in splits.items() if abs(p - q) <= radius], "p int, q int, m int")
-    met = tiles.join(F.broadcast(near), "p").withColumn("t", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))  # 65 * 9 rows at most
+    met = tiles.join(F.broadcast(near), "p").withColumn("t", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))  # population counts squared at most
     mine, theirs = F.struct("p", "s"), F.struct(F.col("q").alias("p"), F.col("t").alias("s"))
-    pairs = met.select(F.least(mine, theirs).alias("a"), F.greatest(mine, theirs).alias("b"), F.when(mine <= theirs, 0).otherwise(1).alias("side"), "fps")
-    return pairs.groupBy("a", "b").applyInArrow(_compare(radius), "u long, v long")
+    pairs = met.select(F.least(mine, theirs).alias("a"), F.greatest(mine, theirs).alias("b"), F.when(mine <= theirs, 0).otherwise(1).alias("side"), "packed")
+    return pairs.groupBy("a", "b").applyInArrow(_compare(radius, half), f"u {kind}, v {kind}")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -167,26 +253,141 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) ->
     """(doc_id, fp, component_id) for every row of docs."""
     prepare(docs.sparkSession)
     printed = materialise(doc_rows(docs).mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash-fingerprints")
-    nodes = materialise(printed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
-    member = components(links(nodes, radius, tile))
+    nodes = materialise(printed.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
+    member = components(links(nodes.select(F.col("fp").alias("node"), F.array("fp").alias("lanes")), radius, tile))
     named = member.join(nodes, member["node"] == nodes["fp"]).select("node", "root", "rep")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     moved = named.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    known = nodes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return printed.join(known, "fp").select("doc_id", "fp", "component_id")
+    known = materialise(nodes.join(moved, "fp", "left").select("fp", "n", F.coalesce("component_id", "rep").alias("component_id")), "simhash-known")
+    return spread_join(printed, known, ["fp"], "n", ["doc_id"])
+
+
+# Near copies: candidates by wide fingerprints, decided by the shingle sets.
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row of each group of linked documents: that with the smallest id, all columns kept.
+def linked_sets(sets: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
+    """For each set the first one of its group: groups are what pairs with a similarity of `least` or more connect.
 
-    Of rows that repeat that id with one text one stays (with other texts they are in groups of their
-    own or go with this one); a group without any id keeps its rows without id once for each text.
+    A set is expanded by the lists of sets that hold each of its shingles, which gives its similarity to
+    all others exactly.  Groups with few sets left to expand go first; when a single group has any
+    left, no link can be missing, so a large group of copies takes few expansions.
     """
-    group = near_duplicates(docs, radius).where("doc_id <=> component_id").groupBy(F.col("doc_id").alias("_kept")).count()
-    group = materialise(group, "simhash-kept")
-    chosen = docs.join(group.select("_kept"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    # Texts are dealt out once more only if ids do repeat.
-    return chosen if group.where("count > 1").isEmpty() else chosen.dropDuplicates(["doc_id", "text"])
+    m = len(sets)
+    size = np.fromiter(map(len, sets), np.int64, m)
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    owner = np.repeat(np.arange(m), size)
+    order = np.argsort(flat, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0)) if len(flat) else np.zeros(0, np.int64)
+    values, posting = flat[order][starts], owner[order]
+    ends = np.append(starts[1:], len(flat))
+    group = np.arange(m)
+    members = {i: [i] for i in range(m)}
+    waiting = {i: [i] for i in range(m)}
+    empty = np.flatnonzero(size == 0)
+
+    def join(x: int, y: int) -> None:
+        if len(members[x]) < len(members[y]):
+            x, y = y, x
+        group[members[y]] = x
+        members[x] += members.pop(y)
+        left = waiting.pop(x, []) + waiting.pop(y, [])
+        if left:
+            waiting[x] = left
+
+    for y in empty[1:].tolist():
+        join(int(group[empty[0]]), int(group[y]))
+    while len(waiting) > 1:
+        for x in sorted(waiting, key=lambda g: len(waiting[g]))[:-1]:
+            if x not in waiting or len(waiting) < 2:
+                continue
+            i = waiting[x].pop()
+            if not waiting[x]:
+                del waiting[x]
+            if not size[i]:
+                continue
+            at = np.searchsorted(values, sets[i])
+            n = ends[at] - starts[at]
+            where = np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            both = np.bincount(posting[where], minlength=m)
+            near = np.flatnonzero(both >= least * (size[i] + size - both))
+            near = near[both[near] / (size[i] + size[near] - both[near]) >= least]
+            for g in np.unique(group[near]).tolist():
+                if group[g] != group[i]:
+                    join(int(group[g]), int(group[i]))
+    first = np.full(m, m)
+    np.minimum.at(first, group, np.arange(m))
+    return first[group]
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import xxhash
+
+    for batch in batches:
+        texts, nodes, sizes, found = batch.column(2), [], [], []
+        for i in range(len(texts)):
+            held = shingle_set(texts[i].as_py())
+            nodes.append(xxhash.xxh3_128_digest(held.tobytes()))
+            sizes.append(len(held))
+            found.append([_signed(x) for x in lanes_of(held)])
+        columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "node", "size", "lanes"])
+
+
+def _verified(key: tuple, table: pa.Table) -> pa.Table:
+    texts, seen = table.column("text"), {}
+    for i, node in enumerate(table.column("node").to_pylist()):
+        if node not in seen:
+            seen[node] = shingle_set(texts[i].as_py())
+    nodes = sorted(seen)
+    first = linked_sets([seen[n] for n in nodes])
+    return pa.table({"u": pa.array(nodes, pa.binary()), "v": pa.array([nodes[i] for i in first.tolist()], pa.binary())})
+
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _key() -> list[Column]:
+    """A row's identity: its id and a hash of its text."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_text()).alias("sig")]
+
+
+def near_copies(docs: DataFrame, component_bytes: int = COMPONENT_BYTES, tile: int = COPY_TILE) -> DataFrame:
+    """(doc_id, sig, part, component_id) for every row of docs; part names the group, component_id is its smallest id."""
+    prepare(docs.sparkSession)
+    rows = docs.select(*_key(), _text().alias("text"))
+    printed = materialise(rows.mapInArrow(_sketches, "doc_id long, sig long, node binary, size long, lanes array<long>"), "copies-sketches")
+    nodes = printed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "sig")).alias("at"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("lanes").alias("lanes"))
+    nodes = materialise(nodes, "copies-nodes")
+    member = materialise(components(links(nodes.select("node", "lanes"), COPY_RADIUS, tile, HALF_RADIUS)).join(nodes.select("node", "at", "size"), "node"), "copies-candidates")
+    # Each half of a pair of tiles holds about half of what a task may.
+    tiles = F.when(F.sum("size") * 8 <= component_bytes, 1).otherwise(F.ceil(F.sum("size") * 16 / component_bytes)).cast("int")
+    sized = member.groupBy("root").agg(tiles.alias("m"))
+    most = sized.agg(F.max("m")).first()[0] or 0
+    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
+    other = F.when(F.col("m") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: j != own))
+    dealt = member.join(sized, "root").select("root", "node", F.col("at.doc_id").alias("_id"), F.col("at.sig").alias("_sig"), own.alias("k"), F.explode(other).alias("j"))
+    dealt = dealt.select("root", "node", "_id", "_sig", F.least("k", "j").alias("a"), F.greatest("k", "j").alias("b"))
+    small = member.count() <= BROADCAST_ROWS
+    texts = rows.join(F.broadcast(dealt) if small and most <= 1 else dealt, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig"))).select("root", "a", "b", "node", "text")
+    edges = materialise(texts.groupBy("root", "a", "b").applyInArrow(_verified, "u binary, v binary"), "copies-links")
+    part = edges.select(F.col("u").alias("node"), F.col("v").alias("part")) if most <= 1 else components(edges).select("node", F.col("root").alias("part"))
+    known = nodes.join(part, "node", "left").select("node", "rep", "n", F.coalesce("part", "node").alias("part"))
+    least = known.groupBy("part").agg(F.min("rep").alias("component_id"))
+    known = materialise(known.join(least, "part").select("node", "n", "part", "component_id"), "copies-known")
+    return spread_join(printed.select("doc_id", "sig", "node"), known, ["node"], "n", ["doc_id", "sig"]).drop("node")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group of near copies, all columns: that with the smallest id, rows without id last; ties go by a hash of the text."""
+    found = near_copies(docs).groupBy("doc_id", "sig").agg(F.first("part").alias("part"), F.count(F.lit(1)).alias("n"))
+    kept = found.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sig", "n")).alias("k"))
+    id_, sig = fresh(docs, "kept_id"), fresh(docs, "kept_sig")
+    kept = materialise(kept.select(F.col("k.doc_id").alias(id_), F.col("k.sig").alias(sig), F.col("k.n").alias("n")), "copies-kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(_text()) == F.col(sig))
+    chosen = docs.join(kept.select(id_, sig), same, "left_semi")
+    # Texts are dealt out once more only if such a row is there several times.
+    return chosen if kept.where("n > 1").isEmpty() else chosen.dropDuplicates(["doc_id", "text"])
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
