@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, near_copies, packing, toxicity
-from tidemark.llm.common import materialise, prepare
+from tidemark.llm import decontaminate, line_dedup, packing, simhash, toxicity
+from tidemark.llm.common import materialise, new_path, prepare, remove_path, scratch
 from tidemark.llm.tokens import tokenizer_path
 
 
@@ -30,8 +30,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at a Jaccard similarity of 0.8 or more over five-word shingles stays: that with the smallest id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group at a Jaccard similarity of 0.8 or more over five-word shingles stays: that with the smallest id.
+
+    SimHash proposes with fingerprints wide enough for that similarity; the shingle sets decide.
+    """
+    return simhash.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,19 +50,24 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
-    ("near_copies", drop_near_copies),
+    ("simhash", drop_near_copies),
     ("decontamination", drop_benchmark_leaks),
     ("packing", pack),
 ]
 
-#: Neither the classifier nor the tokenizer can be said in SQL; tests hold the near-copy stage and parts of the others against brute force, not run() as a whole.
+#: Neither the classifier nor the tokenizer can be said in SQL; tests/llm/test_pipeline.py holds each stage and run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each result is written to the shared folder and read again."""
+    """All stages in order; each result is written to the shared folder and read again, and goes when the next is there."""
     prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as keep:
+            keep.append(path := new_path(spark, f"pipeline-{name}"))
+            docs = materialise(stage(spark, docs, sf_dir), name, path)
+        if last:
+            remove_path(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
