@@ -6,13 +6,15 @@ with one minimizer travel as one run (their bytes once), and a run that repeats
 same task stays there.  K-byte strings that many documents of a bounded sample hold come last in the
 order of hashes, so a common line or phrase seldom is a minimizer and doesn't fill one shard.
 
-A shard takes its runs in the documents' order, in batches.  A batch gets a suffix array (all windows
-of its runs, ranked to depth LENGTH by prefix doubling); runs whose minimizer an existing level holds
-are scanned with that level's runs in one such array; windows that also start earlier are marked.
-The batch then becomes a level, and levels of equal size merge, so there are logarithmically many.
+A shard takes its runs in the documents' order, in batches.  Windows whose hash comes up again, in the
+batch or in a level that holds their run's minimizer, are merge-scanned in one suffix array (ranked to
+depth LENGTH by prefix doubling); those that also start earlier are marked.  The others of the batch
+become a level, and levels of equal size merge, so there are logarithmically many, and no level holds a
+window twice.
 
 Marked spans come back to their documents, whose covered bytes are removed.  A hash of a run's bytes only
-proposes that two runs are the same: their bytes are compared before one is marked.
+proposes that two runs are the same: their bytes are compared before one is marked.  Hashes of windows
+only rule out: no mark rests on one.
 
 Defined results: a null or empty text has no bytes and stays; a text shorter than LENGTH is never
 touched; a null doc_id counts as the largest; rows that repeat a doc_id are ordered by 63 bits
@@ -38,7 +40,9 @@ from tidemark.llm.common import doc_rows, prepare, slices
 LENGTH = 100
 K = 24
 #: Bytes of text for each shard; runs of a chunk of text are sent together.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+#: Shuffle partitions at most, unless the session has more: four a shard, so that few shards share one.
+PARTITIONS = 20_000
 CHUNK_CHARS = 6_000_000
 SLICE = 1_000_000
 #: Windows of a batch, the smallest level.
@@ -46,7 +50,7 @@ BATCH_WINDOWS = 500_000
 #: Documents and characters of each that the sample for common strings takes at most.
 SAMPLE_DOCS, SAMPLE_CHARS, COMMON_SHARE = 400, 8_000, 0.02
 LAST_ID = (1 << 63) - 1
-_COMMON_BITS = 20
+_COMMON_BITS, _TABLE_BITS = 20, 22
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _B = 0x5851F42D4C957F2D
 
@@ -149,11 +153,16 @@ class Runs:
             data, at = gathered(data, at, sizes), np.cumsum(sizes) - sizes
         return Runs(self.mini[index], self.doc[index], self.sig[index], self.pos[index], self.windows[index], self.twice[index], at, data)
 
+    def compacted(self) -> Runs:
+        return self.take(np.arange(len(self)), compact=True)
+
     def __len__(self) -> int:
         return len(self.mini)
 
 
 def joined(parts: list[Runs]) -> Runs:
+    if all(p.data is parts[0].data for p in parts):
+        return Runs(*(np.concatenate([getattr(p, n) for p in parts]) for n in ("mini", "doc", "sig", "pos", "windows", "twice", "at")), parts[0].data)
     shift = np.cumsum([0, *(len(p.data) for p in parts)])
     arrays = (np.concatenate([getattr(p, n) for p in parts]) for n in ("mini", "doc", "sig", "pos", "windows", "twice"))
     return Runs(*arrays, np.concatenate([p.at + s for p, s in zip(parts, shift)]), np.concatenate([p.data for p in parts]))
@@ -221,21 +230,71 @@ def suffix_ranks(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     return rank
 
 
+def _windows(runs: Runs) -> np.ndarray:
+    """Where each window of the runs begins in their data, run by run."""
+    ends = np.cumsum(runs.windows)
+    return np.repeat(runs.at - (ends - runs.windows), runs.windows) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def window_hashes(runs: Runs) -> np.ndarray:
+    """A hash of each window's bytes, run by run."""
+    return _mixed(run_hashes(runs.data, _windows(runs), np.int64(LENGTH)))
+
+
+def _among(hashes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of hashes are among some, which ascend; a table of bits rules most of them out."""
+    table, shift = np.zeros(1 << _TABLE_BITS, bool), np.uint64(64 - _TABLE_BITS)
+    table[some >> shift] = True
+    out = table[hashes >> shift]
+    seen = hashes[out]
+    out[out] = some[np.minimum(np.searchsorted(some, seen), len(some) - 1)] == seen
+    return out
+
+
+def likely(earlier: Runs, runs: Runs) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of earlier and of runs: may its bytes be those of another one, of runs at least once?
+
+    Never false where they are.
+    """
+    old, new = window_hashes(earlier), window_hashes(runs)
+    order = np.sort(new)
+    of_old = _among(old, order)
+    again = np.sort(np.concatenate([old[of_old], order[1:][order[1:] == order[:-1]]]))
+    return of_old, _among(new, again) if len(again) else np.zeros(len(new), bool)
+
+
+def stretches(runs: Runs, chosen: np.ndarray) -> Runs:
+    """The maximal stretches of chosen windows as runs of their own, over the same data."""
+    run, begins, ends, place = _stretches(runs, chosen)
+    out = runs.take(run)
+    out.pos, out.at, out.windows = out.pos + place[begins], out.at + place[begins], ends - begins + 1
+    return out
+
+
+def _stretches(runs: Runs, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(run, first window, last window) of each stretch, windows by number, and each window's place in its run."""
+    ends = np.cumsum(runs.windows)
+    run = np.repeat(np.arange(len(runs)), runs.windows)
+    place = np.arange(len(chosen)) - np.repeat(ends - runs.windows, runs.windows)
+    begins, stops = chosen.copy(), chosen.copy()
+    begins[1:] &= ~(chosen[:-1] & (run[1:] == run[:-1]))
+    stops[:-1] &= ~(chosen[1:] & (run[1:] == run[:-1]))
+    a = np.flatnonzero(begins)
+    return run[a], a, np.flatnonzero(stops), place
+
+
 def repeated_windows(earlier: Runs | None, runs: Runs) -> np.ndarray:
     """For each window of runs, in order: does it also start earlier, in `earlier` or among runs?
 
     `earlier` comes before all of runs, and runs are in the documents' order.
     """
     both = runs if earlier is None else joined([earlier, runs])
-    compact = both.take(np.arange(len(both)), compact=True)
-    rank = suffix_ranks(compact.data)
-    ends = np.cumsum(compact.windows)
-    window = np.repeat(compact.at - (ends - compact.windows), compact.windows) + np.arange(int(ends[-1]))
-    found = rank[window]
+    compact = both.compacted()
+    found = suffix_ranks(compact.data)[_windows(compact)]
     # The first of each rank in order is the one that stays; a window of the same document and place is itself.
-    _, first = np.unique(found, return_index=True)
-    repeated = np.ones(len(found), bool)
-    repeated[first] = False
+    first = np.full(int(found.max(initial=0)) + 1, len(found))
+    np.minimum.at(first, found.astype(np.int64), np.arange(len(found)))
+    repeated = np.arange(len(found)) > first[found.astype(np.int64)]
     return repeated[int(earlier.windows.sum()) if earlier is not None else 0 :]
 
 
@@ -272,11 +331,21 @@ class Family:
                 lo, hi = np.searchsorted(level.mini, values, "left"), np.searchsorted(level.mini, values, "right")
                 if (hit := hi > lo).any():
                     n = hi[hit] - lo[hit]
-                    old.append(level.take(np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))))
+                    old.append(level.take(np.repeat(lo[hit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), compact=True))
                     shared |= np.isin(new.mini, values[hit])
             if shared.any():
-                scanned = new.take(np.flatnonzero(shared))
-                marked.append(_spans(scanned, repeated_windows(joined(old) if old else None, scanned)))
+                scanned, rest = new.take(np.flatnonzero(shared), compact=True), new.take(np.flatnonzero(~shared))
+                before = joined(old).compacted() if old else scanned.take(np.arange(0))
+                of_old, of_new = likely(before, scanned)  # only windows that may repeat need a place in the array
+                before, after = stretches(before, of_old), stretches(scanned, of_new)
+                repeated = np.zeros(len(of_new), bool)
+                if len(after):
+                    again = repeated_windows(before if len(before) else None, after)
+                    marked.append(_spans(after, again))
+                    repeated[np.flatnonzero(of_new)[again]] = True
+                # Repeated windows are in the index already.
+                new = joined([rest, stretches(scanned, ~repeated)])
+                new_hashes = run_hashes(new.data, new.at, new.windows + LENGTH - 1)
             self._put(new, new_hashes)
         return marked
 
@@ -294,14 +363,7 @@ class Family:
 
 def _spans(runs: Runs, repeated: np.ndarray) -> tuple[np.ndarray, ...]:
     """Maximal stretches of repeated windows within each run, as spans of bytes."""
-    ends = np.cumsum(runs.windows)
-    run = np.repeat(np.arange(len(runs)), runs.windows)
-    place = np.arange(len(repeated)) - np.repeat(ends - runs.windows, runs.windows)
-    begins, stops = repeated.copy(), repeated.copy()
-    begins[1:] &= ~(repeated[:-1] & (run[1:] == run[:-1]))
-    stops[:-1] &= ~(repeated[1:] & (run[1:] == run[:-1]))
-    a, b = np.flatnonzero(begins), np.flatnonzero(stops)
-    r = run[a]
+    r, a, b, place = _stretches(runs, repeated)
     return runs.doc[r], runs.sig[r], runs.pos[r] + place[a], runs.pos[r] + place[b] + LENGTH
 
 
@@ -317,6 +379,35 @@ def _unpacked(data: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
+def _sent_runs(runs: Runs) -> bytes:
+    """Runs and their bytes in one small frame, so that a shard may get a few runs from a chunk without a cost of its own."""
+    import zstandard
+
+    docs, number = np.unique(np.stack([runs.doc, runs.sig], 1), axis=0, return_inverse=True)
+    wide = np.int64 if len(runs) and runs.pos.max() >> 31 else np.int32
+    columns = (runs.mini.astype(np.uint32), docs.astype(np.int64), number.reshape(-1).astype(np.int32), runs.pos.astype(wide), runs.windows.astype(np.int32), np.packbits(runs.twice), gathered(runs.data, runs.at, runs.windows + LENGTH - 1))
+    head = np.array([len(runs), len(docs), wide is np.int64], np.int32)
+    return zstandard.ZstdCompressor(level=3, write_content_size=True).compress(b"".join(x.tobytes() for x in (head, *columns)))
+
+
+def _received_runs(frame: bytes) -> Runs:
+    import zstandard
+
+    data = zstandard.ZstdDecompressor().decompress(frame)
+    (n, m, wide), at = np.frombuffer(data, np.int32, 3).tolist(), 12
+
+    def take(kind, size: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(data, kind, size, at)
+        at += out.nbytes
+        return out
+
+    mini, docs, number = take(np.uint32, n), take(np.int64, 2 * m).reshape(-1, 2), take(np.int32, n)
+    pos, windows, twice = take(np.int64 if wide else np.int32, n), take(np.int32, n).astype(np.int64), take(np.uint8, -(-n // 8))
+    sizes = windows + LENGTH - 1
+    return Runs(mini, docs[number, 0], docs[number, 1], pos.astype(np.int64), windows, np.unpackbits(twice, count=n).astype(bool), np.cumsum(sizes) - sizes, take(np.uint8, int(sizes.sum())))
+
+
 def _checksum(text: bytes) -> int:
     import xxhash
 
@@ -368,11 +459,7 @@ def _sent(shards: int, buckets: int, shared):
                 shard = (_mixed(found.mini[kept]) >> np.uint64(33)).astype(np.int64) % shards
                 order = np.argsort(shard, kind="stable")
                 for some in np.split(kept[order], np.flatnonzero(np.diff(shard[order])) + 1):
-                    sizes = found.windows[some] + LENGTH - 1
-                    docs, number = np.unique(np.stack([found.doc[some], found.sig[some]], 1), axis=0, return_inverse=True)
-                    number = number.reshape(-1)
-                    body = _packed(found.mini[some].astype(np.uint32), docs, number.astype(np.int32), found.pos[some].astype(np.int64 if found.pos[some].max() >> 31 else np.int32), found.windows[some].astype(np.int32), np.packbits(found.twice[some]), gathered(found.data, found.at[some], sizes).tobytes())
-                    out.append((0, int((_mixed(found.mini[some[:1]]) >> np.uint64(33))[0]) % shards, body))
+                    out.append((0, int((_mixed(found.mini[some[:1]]) >> np.uint64(33))[0]) % shards, _sent_runs(found.take(some))))
             kinds = [pa.int32(), pa.int32(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 3, kinds)], ["kind", "key", "body"])
 
@@ -398,18 +485,13 @@ def _indexed(buckets: int, batch_windows: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() == 1:
             return table
-        def read(body: pa.Scalar) -> Runs:
-            mini, docs, number, pos, windows, twice, data = _unpacked(body.as_py())
-            sizes = windows.astype(np.int64) + LENGTH - 1
-            return Runs(mini, docs[number, 0], docs[number, 1], pos.astype(np.int64), windows.astype(np.int64), np.unpackbits(twice, count=len(mini)).astype(bool), np.cumsum(sizes) - sizes, np.frombuffer(data, np.uint8))
-
         # Only minimizers that come up again, or stand twice in a run, need an index.
-        bodies = table.column("body")
-        values, counts = np.unique(np.concatenate([_unpacked(x.as_py())[0] for x in bodies]), return_counts=True)
-        again, parts = values[counts > 1], []
-        for body in bodies:
-            some = read(body)
-            parts.append(some.take(np.flatnonzero(some.twice | np.isin(some.mini, again)), compact=True))
+        parts = [_received_runs(x.as_py()) for x in table.column("body")]
+        order = np.sort(np.concatenate([x.mini for x in parts]))
+        again = order[1:][order[1:] == order[:-1]]
+        for i, some in enumerate(parts):
+            at = np.minimum(np.searchsorted(again, some.mini), max(0, len(again) - 1))
+            parts[i] = some.take(np.flatnonzero(some.twice | (again[at] == some.mini if len(again) else False)), compact=True)
         runs = joined(parts)
         del parts
         order = np.lexsort((runs.pos, runs.sig, runs.doc))
@@ -480,7 +562,8 @@ def removed(docs: DataFrame, with_text: bool = False, shard_bytes: int = SHARD_B
     shards = buckets = max(8, -(-size // shard_bytes))
     shared = spark.sparkContext.broadcast(common_strings(rows))
     sent = rows.mapInArrow(_sent(shards, buckets, shared), "kind int, key int, body binary")
-    spans = sent.groupBy("kind", "key").applyInArrow(_indexed(buckets, batch_windows), "kind int, key int, body binary")  # one pass over the texts serves both kinds
+    parts = min(4 * shards, max(PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    spans = sent.repartition(parts, "kind", "key").groupBy("kind", "key").applyInArrow(_indexed(buckets, batch_windows), "kind int, key int, body binary")  # one pass over the texts serves both kinds
     texts = rows.mapInArrow(_texts(buckets), "kind int, key int, body binary")
     return spans.unionByName(texts).groupBy("key").applyInArrow(_cut(with_text), RESULT)
 
