@@ -87,14 +87,19 @@ def _hash(w: Column, i: Column, shape: tuple[int, ...], number: int) -> Column:
 
 def _item_seeds(w: Column, placed: dict) -> Column:
     """Structs of place and hash of all seeds of an item."""
-    one = lambda i, shape, number: F.struct(i.cast("int").alias("i"), _hash(w, i, shape, number).alias("h"))
+
+    def one(i: Column, shape: tuple[int, ...], number: int) -> Column:
+        return F.struct(i.cast("int").alias("i"), _hash(w, i, shape, number).alias("h"))
+
+    def every(shape: tuple[int, ...], number: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - SPAN), lambda i: one(i, shape, number))
+
     out = F.lit(None)
     for n, some in placed.items():
         if n < WINDOW:
             out = F.when(F.size(w) == n, F.array(*[one(F.lit(at), shape, number) for at, shape, number in some])).otherwise(out)
         else:
-            every = F.transform(F.sequence(F.lit(0), F.size(w) - SPAN), lambda i, some=some: F.array(*[one(i, shape, number) for _, shape, number in some]))
-            out = F.when(F.size(w) >= n, F.flatten(every)).otherwise(out)
+            out = F.when(F.size(w) >= n, F.concat(*[every(shape, number) for _, shape, number in some])).otherwise(out)
     return out
 
 
