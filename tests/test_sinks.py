@@ -16,7 +16,7 @@ def test_files_hold_the_rows(spark, tmp_path):
 
 def test_cost_report(spark):
     rows = spark.createDataFrame([("x", "", 1.0), ("x", "s", 2.0), ("y", "s", 0.5)], "stage string, source_name string, estimated_cost double")
-    assert json.loads(sinks.cost_report(rows).first()[0]) == {"total": 3.5, "by_stage": {"x": 3.0, "y": 0.5}, "by_source": {"s": 2.5}}
+    assert json.loads(sinks.cost_report(rows, "r").first()[0]) == {"run_id": "r", "total_cost_usd": 3.5, "by_stage": {"x": 3.0, "y": 0.5}, "by_source": {"s": 2.5}}
 
 
 def test_match_takes_the_strong_pass_first(spark):

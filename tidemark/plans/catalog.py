@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as t
-from tidemark.operators import analysis, content, entities, matching, sinks
+from tidemark.operators import analysis, annotate, briefing, content, entities, matching, sinks
+from tidemark.plans import fixtures as fx
+from tidemark.sources import html, listings
 from tidemark.sources.content import read_items
+from tidemark.sources.listings import HEADLINE
 
-HEADLINE = "(?i)(dollar|euro|yen|pound|yuan|currency|forex|fed|rate|bank|inflation)"  # fixed value
 #: The corpus has no finance words: versions stand in for a metric.
 METRIC = {"version": r"version\D{0,20}(\d+\.?\d*)", "number": r"(?:^|\s)[nv]\D{0,3}(\d+\.\d+)"}
 LINK_BASE = "https://example.net"
@@ -29,7 +31,7 @@ def _few(spark: SparkSession) -> DataFrame:
 
 
 def _mentions(spark: SparkSession, d: str) -> DataFrame:
-    return entities.mentions(_items(spark, d), _aliases(spark))
+    return entities.mentions(_items(spark, d))
 
 
 def _sentiments(spark: SparkSession, d: str) -> DataFrame:
@@ -76,13 +78,104 @@ def _run_summary(spark, d):
     return _items(spark, d).agg(F.countDistinct("source_name").alias("sources"), F.count(F.lit(1)).alias("items"), F.countDistinct("content_hash").alias("distinct_items")).crossJoin(found)  # one row each
 
 
+def _conflicts(spark, d):
+    return analysis.conflicts(_sentiments(spark, d))
+
+
+def _numbers_apart(spark, d):
+    return analysis.inconsistencies(analysis.readings(_items(spark, d), METRIC))
+
+
+def _low(spark, d):
+    return entities.unresolved_flags(entities.resolve(_mentions(spark, d), _few(spark)))
+
+
 def _qa_union(spark, d):
-    one = analysis.conflicts(_sentiments(spark, d)).select(F.lit("sentiment_conflict").alias("flag_type"), F.concat_ws("|", "canonical_id", F.col("ord_a").cast("string"), F.col("ord_b").cast("string")).alias("key"))
-    two = entities.unresolved_flags(entities.resolve(_mentions(spark, d), _few(spark))).select(F.lit("unresolved_entity").alias("flag_type"), F.col("flag_key").alias("key"))
-    three = analysis.inconsistencies(analysis.readings(_items(spark, d), METRIC)).select(F.lit("numeric_inconsistency").alias("flag_type"), F.concat_ws("|", "metric", "source_a", "source_b").alias("key"))
+    one = _conflicts(spark, d).select(F.lit("sentiment_conflict").alias("flag_type"), F.concat_ws("|", "canonical_id", F.col("ord_a").cast("string"), F.col("ord_b").cast("string")).alias("key"))
+    two = _low(spark, d).select(F.lit("unresolved_entity").alias("flag_type"), F.col("flag_key").alias("key"))
+    three = _numbers_apart(spark, d).select(F.lit("numeric_inconsistency").alias("flag_type"), F.concat_ws("|", "metric", "source_a", "source_b").alias("key"))
     return one.unionByName(two).unionByName(three)
 
 
+def _context(spark, d):
+    found = _items(spark, d).select("id", F.posexplode(t.numbers_in_context(F.col("combined"))).alias("pos", "n"))
+    return found.select("id", F.col("pos").cast("long").alias("pos"), "n.value", "n.unit", "n.context_span")
+
+
+def _windows(spark, d):
+    found = _items(spark, d).select("id", "combined", "ord")
+    return entities.mentions(_items(spark, d)).select("id", "surface_form").join(found, "id").select("id", "surface_form", t.context_window(F.col("combined"), F.col("surface_form")).alias("window"), F.char_length(t.annotated(F.col("combined"))).cast("long").alias("annotated_chars"))
+
+
+def _anchors(spark, d):
+    """All links of the pages, by the parser."""
+    page = html.elements(spark.read.parquet(f"{d}/pages.parquet").select("page_id", "html"), tags=("a",))
+    each = page.select("page_id", F.explode(html.tagged(F.col("elements"), "a")).alias("e"))
+    return each.select("page_id", F.col("e.attrs")["href"].alias("href"), F.col("e.text").alias("text"))
+
+
+def _page_text(spark, d):
+    page = html.elements(spark.read.parquet(f"{d}/pages.parquet").select("page_id", "html"), tags=())
+    return page.select("page_id", html.page_text(F.col("elements")).alias("text"))
+
+
+# What recorded answers give on the literal items.
+
+
+def _batched(spark):
+    return content.batches(fx.items(spark)).join(fx.items(spark).select("id", "combined"), "id")
+
+
+def _recognised(spark):
+    return annotate.recognised(_batched(spark), fx.answers(spark, "extraction", fx.RECOGNISED))
+
+
+def _resolutions(spark):
+    return annotate.resolutions(fx.answers(spark, "resolution", fx.RESOLVED))
+
+
+def _resolved(spark):
+    return entities.resolve(_recognised(spark), _aliases(spark), annotate.last_resolution(_resolutions(spark)))
+
+
+def _scored(spark):
+    return annotate.scored(fx.items(spark), _resolved(spark), fx.answers(spark, "sentiment", fx.SCORED))
+
+
+def _flags(spark):
+    return analysis.quality_flags(_scored(spark), entities.unresolved_flags(_resolved(spark)), analysis.readings(fx.items(spark)))
+
+
+def _requests(spark):
+    one = annotate.recognition_requests(_batched(spark), "gpt-4o")
+    two = annotate.resolution_requests(entities.unresolved(_recognised(spark), _aliases(spark)), "gpt-4o-mini")
+    three = annotate.sentiment_requests(fx.items(spark), _resolved(spark), "gpt-5")
+    return one.unionByName(two).unionByName(three)
+
+
+def _records(spark):
+    return annotate.cost_records(_requests(spark), fx.all_answers(spark))
+
+
+def _shown(rows):
+    return rows.select("source_key", "source_name", "ord", "source_url", "title", "body", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published"))
+
+
+#: Links with repeats: page 1 ends before its fourth, page 2 after the most there may be.
+REPEATED = tuple((1, i, u) for i, u in enumerate(("/a", "/b", "/c", "/b", "/d"))) + tuple((2, i, f"/{i}") for i in range(25)) + ((3, 0, "/z"), (3, 1, "/z"))
+DATES = ("January 5, 2024", "Jan 05, 2024", "5 January 2024", "2024-01-05", "soon", " March 12, 2024 ", "2024-03-01T09:30:00Z", "2024-03-01T09:30:00+02:00", "2024-03-01T09:30:00", "2024-13-01", None)
+
+
+def _repeated_links(spark):
+    return spark.createDataFrame(REPEATED, "page long, pos long, url string")
+
+
+def _date_formats(spark, d):
+    raw = spark.createDataFrame([(i, x) for i, x in enumerate(DATES)], "n long, raw string")
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm")
+    return raw.select("n", shown(t.parse_date(F.col("raw"))).alias("month_first"), shown(t.parse_date(F.col("raw"), True)).alias("day_first"), shown(t.parse_iso(F.col("raw"))).alias("iso"), t.written_date(F.coalesce("raw", F.lit(""))).alias("written"))
+
+
 def _matched(spark, d):
     """What an annotator might return: each mention's surface in capitals, and a word of its name."""
     found = entities.resolve(_mentions(spark, d), _aliases(spark)).withColumn("item", F.col("ord"))
@@ -99,19 +192,21 @@ QUERIES = {
     "source_union_filter": lambda s, d: read_items(s, d, ["src1", "src3"]).select("id", "source_name"),
     "headline_filter": _headlines,
     "number_values": _numbers,
-    "ner_batches": lambda s, d: content.batches(_items(s, d)),
+    "ner_batches": lambda s, d: content.batches(_items(s, d)).select("id", "source_name", "batch"),
     "gazetteer_mentions": lambda s, d: _mentions(s, d).select("id", "surface_form", "entity_type", "span_start", "span_end"),
     "alias_resolution": lambda s, d: entities.resolve(_mentions(s, d), _few(s)).select("id", "surface_form", "canonical_id", "canonical_name", "resolution_confidence"),
     "unresolved_surfaces": lambda s, d: entities.unresolved(_mentions(s, d), _few(s)),
-    "entity_registry_aliases": lambda s, d: entities.registry(_aliases(s)),
-    "unresolved_flags": lambda s, d: entities.unresolved_flags(entities.resolve(_mentions(s, d), _few(s))),
+    "entity_registry_aliases": lambda s, d: entities.registry(_aliases(s)).drop("place"),
+    "unresolved_flags": lambda s, d: _low(s, d).select("flag_key", "surface_form", "entity_type", "canonical_id", "resolution_confidence", "source_content_id"),
     "entity_sentiments": lambda s, d: _sentiments(s, d),
     "sentiment_match": _matched,
-    "sentiment_lines": lambda s, d: sinks.summary_lines(analysis.summary(_sentiments(s, d))),
-    "sentiment_conflicts": lambda s, d: analysis.conflicts(_sentiments(s, d)),
+    "sentiment_lines": lambda s, d: briefing.summary_lines(analysis.summary(_sentiments(s, d))),
+    "sentiment_conflicts": _conflicts,
+    "conflict_messages": lambda s, d: analysis.conflict_flags(_conflicts(s, d)).select("entity_id", "details", F.array_join("sources", "|").alias("sources")),
     "sentiment_summary": lambda s, d: analysis.summary(_sentiments(s, d)),
     "numeric_readings": lambda s, d: analysis.readings(_items(s, d), METRIC),
-    "numeric_inconsistency": lambda s, d: analysis.inconsistencies(analysis.readings(_items(s, d), METRIC)),
+    "numeric_inconsistency": lambda s, d: _numbers_apart(s, d).select("metric", "value_a", "value_b", "source_a", "source_b"),
+    "numeric_messages": lambda s, d: analysis.number_flags(_numbers_apart(s, d)).select("details", F.array_join("sources", "|").alias("sources")),
     "qa_union": _qa_union,
     "cost_records": lambda s, d: _calls(s, d).select("conv_id", "stage", "model", "prompt_tokens", "completion_tokens", F.col("estimated_cost").cast("double").alias("estimated_cost")),
     "cost_by_stage": lambda s, d: analysis.cost_by(_calls(s, d), "stage"),
@@ -121,7 +216,32 @@ QUERIES = {
     "page_titles": lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title")),
     "page_links": _links,
     "page_top_links": lambda s, d: analysis.top_by_order(_links(s, d), "page_id", "pos", 3),
-    "links_until_repeat": lambda s, d: matching.until_repeat(_links(s, d).withColumn("key", F.substr("url", F.lit(1), F.lit(22))), "page_id", "key", "pos"),
+    "links_until_repeat": lambda s, d: matching.until_repeat(_repeated_links(s), "page", "url", "pos"),
     "json_path": lambda s, d: s.read.parquet(f"{d}/events.parquet").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k")),
     "parse_dates": _dates,
+    "number_context": _context,
+    "context_windows": _windows,
+    "page_anchors": _anchors,
+    "page_text": _page_text,
+    "fed_listing": lambda s, d: _shown(listings.fed(fx.pages(s, fx.FED_PAGE), fx.fed_articles(s))),
+    "imf_listing": lambda s, d: _shown(listings.imf(fx.pages(s, fx.IMF_PAGE), fx.imf_articles(s))),
+    "markets_listing": lambda s, d: _shown(listings.markets(fx.pages(s, fx.MARKETS_PAGE, "<p>No <b>headline</b>", ""))),
+    "headline_listing": lambda s, d: _shown(listings.reuters(fx.pages(s, fx.REUTERS_PAGE, "<p>Only text", ""))),
+    "quote_listing": lambda s, d: _shown(listings.quote(fx.pages(s, fx.QUOTE_PAGE, fx.QUOTE_DATA, fx.QUOTE_BAD, ""))),
+    "two_tiers": lambda s, d: listings.first_tier(fx.pages(s, "a", "b").where("page_url = 'page0'"), fx.pages(s, "x", "y")),
+    "date_formats": _date_formats,
+    "ner_flatten": lambda s, d: _recognised(s).select("id", "alias_ord", "surface_form", "entity_type", "span_start", "span_end"),
+    "resolution_last_wins": lambda s, d: annotate.last_resolution(_resolutions(s)),
+    "fallback_registry": lambda s, d: entities.registry(_aliases(s), _resolved(s), _resolutions(s)).drop("place"),
+    "resolved_mentions": lambda s, d: _resolved(s).select("id", "alias_ord", "surface_form", "canonical_id", "canonical_name", "resolution_confidence"),
+    "sentiment_parse": lambda s, d: _scored(s).select("id", "nth", "canonical_id", "canonical_name", "label", "score", "confidence", "evidence_span", "source_name"),
+    "metric_readings": lambda s, d: analysis.readings(fx.items(s)),
+    "qa_flags": lambda s, d: _flags(s).select("flag_type", "entity_id", "details", F.array_join("sources", "|").alias("sources")),
+    "qa_lines": lambda s, d: briefing.flag_lines(_flags(s)).select("line"),
+    "first_flags": lambda s, d: sinks.first_flags(_flags(s), 3),
+    "briefing_context": lambda s, d: briefing.context(analysis.summary(_scored(s)), _flags(s), entities.registry(_aliases(s), _resolved(s), _resolutions(s))),
+    "briefing_texts": lambda s, d: briefing.briefings(s, fx.all_answers(s)),
+    "request_table": lambda s, d: _requests(s).select("request_id", "stage", "model", "source_name", "user"),
+    "call_records": lambda s, d: _records(s).select("call_id", "stage", "model", "prompt_tokens", "completion_tokens", F.col("estimated_cost").cast("double").alias("estimated_cost"), "source_name"),
+    "cost_report": lambda s, d: sinks.cost_report(_calls(s, d), "run"),
 }
