@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import re
-import tempfile
-import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager, suppress
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.runtime import importable, materialise, new_path, remove_path, scratch, shared_folder
+
+__all__ = ["materialise", "new_path", "remove_path", "scratch"]
+
 #: The ASCII white space of every contract here: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -28,81 +25,18 @@ ARROW_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 #: Workers live on between tasks, so what they free goes back to the system.
 GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
-REPOSITORY = str(Path(__file__).resolve().parents[2])
-
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package, bounds their memory, and gives the session a shared folder if it has none."""
+    """Lets Python workers import this package, bounds their memory, and sees to a shared folder."""
     context = spark.sparkContext
     if ARROW_BATCH[0] not in spark.conf.getAll:
         spark.conf.set(*ARROW_BATCH)
     for name, value in GIVE_BACK.items():
         context.environment.setdefault(name, value)
-    paths = context.environment.get("PYTHONPATH", "")
-    if REPOSITORY not in paths.split(os.pathsep):
-        context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (REPOSITORY, paths) if x)
+    importable(spark)
     shared_folder(spark)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir.  Only a local master may do without: then it is a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "tidemark-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-#: Paths written by this process and not yet removed.
-_written: list[str] = []
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not _written:
-        atexit.register(_remove_written)
-    _written.append(path)
-    return path
-
-
-def _remove_written() -> None:
-    """At the end of the process: what is still there goes, if the session is still alive."""
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        for path in list(_written):
-            with suppress(Exception):  # the JVM may be gone
-                remove_path(spark, path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[list[str]]:
-    """Removes what is written inside, but for the paths that the caller puts in the list."""
-    before, keep = set(_written), []
-    yield keep
-    for path in [x for x in _written if x not in before and x not in keep]:
-        remove_path(spark, path)
-
-
-def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: a cut of the lineage that outlives executors."""
-    spark = df.sparkSession
-    path = path or new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    if path in _written:
-        _written.remove(path)
-
-
 #: Keys that hold a share of 1/HOT or more of all rows count as hot: there are HOT of them at most.
 HOT = 1024
 
