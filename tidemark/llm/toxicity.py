@@ -9,7 +9,8 @@ shuffle; the model is FEATURES numbers.
 
 Defined results: a null or empty text scores the model's bias; rows that repeat each get a row; a null
 doc_id is kept and counts as the empty text for the fold; labels that are null, or that repeat, are
-left out or taken once (the larger); without labels of both kinds every score is 0; an empty table
+left out or taken once (the larger); of a
+labelled id's texts the least in order is learned from; without labels of both kinds every score is 0; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -38,11 +39,11 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 def hashed_ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """For each n: slots at every position of the texts put together, the text of each position, and n.
 
-    Texts are separated by characters of code 0; a position whose n-gram leaves its text is for the
-    caller to drop (the text at its last character differs).
+    Texts are separated by characters of code 0, which belong to no text (-1); a position whose n-gram
+    leaves its text is for the caller to drop (the text at its last character differs).
     """
     chars = np.frombuffer("\0".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.cumsum(chars == 0)
+    owner = np.where(chars == 0, -1, np.cumsum(chars == 0))
     gram = np.zeros(len(chars), np.uint64)
     for n in range(1, NGRAMS[1] + 1):
         if len(chars) < n:
@@ -59,7 +60,7 @@ def present(texts: list[str], keep: np.ndarray | None = None) -> tuple[np.ndarra
     found = []
     for slot, owner, n in hashed_ngrams(texts):
         at = np.flatnonzero(keep[slot]) if keep is not None else np.arange(len(slot))
-        at = at[owner[at] == owner[at + n - 1]]
+        at = at[(owner[at] >= 0) & (owner[at] == owner[at + n - 1])]
         found.append(owner[at] << BITS | slot[at])
     pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     return pairs >> BITS, pairs & ((1 << BITS) - 1)
@@ -170,7 +171,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where("doc_id IS NOT NULL AND label IN (0, 1)")
     usable = usable.where(fold(FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return materialise(doc_rows(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("label", "text"), "toxicity-train")  # `rows` rows of 12 bytes
+    held = doc_rows(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.first("label").alias("label"), F.min("text").alias("text"))  # `rows` rows of 12 bytes
+    return materialise(held.select("label", "text"), "toxicity-train")
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
