@@ -70,7 +70,7 @@ def test_lattice_sums_over_all_segmentations():
         for j in range(1, len(w) + 1):
             a.append(sum(a[i] * p[model.index[w[i:j]]] for i in range(j) if w[i:j] in model.index))
         assert np.isclose(model.marginals([word])[0], np.log(a[-1]))
-        assert np.isclose(sum(len(pieces[i]) * x for i, x in enumerate(model.expected([word], np.ones(1)))), len(w))
+        assert np.isclose(sum(len(pieces[i]) * x for i, x in enumerate(model.expected([word], np.ones(1))[0])), len(w))
 
 
 def test_line_dedup(spark, docs):

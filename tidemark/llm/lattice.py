@@ -5,8 +5,11 @@ byte is a piece as well, so each word has a segmentation.  A piece that begins w
 word, no piece holds white space elsewhere, so a text's lattice falls apart at its words: its marginal
 probability is the product of its words' marginals and of the end's probability.  A word's marginal
 sums over all its segmentations by the forward recursion in log space, for all words of a length at
-once.  The vocabulary's ranks give first weights; expectation-maximisation over the counts of all
-training words then fits the pieces' probabilities.
+once.  The vocabulary's scores give the first weights and stay in as a prior of PRIOR tokens;
+expectation-maximisation over the counts of all training words does the rest, until it gains little.
+
+The only public file with scores is of a BPE model, whose scores are ranks; a rank r weights a piece
+by 1 / (r + 2).
 
 Word counts are gathered by a shuffle over all training texts.  The HEAD_WORDS most frequent words'
 counts at most are broadcast (16 bytes each); the others are joined by word, so exact counts serve
@@ -33,11 +36,12 @@ from tidemark.llm.tokens import tokenizer_path
 
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 1 << 18
-ROUNDS = 3
+#: Rounds of the fit at most, and the gain in log10 a token under which it ends.
+ROUNDS, GAIN = 8, 0.02
 #: Words longer than this many bytes take the recursion one by one.
 LONG = 64
-#: What each piece has beside its expected count.
-SMOOTH = 0.05
+#: Tokens that the vocabulary's own scores count as, beside the expected counts.
+PRIOR = 2_000.0
 END = b" "  # no word holds a space
 _KEPT = 400_000
 _BASE, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -133,9 +137,9 @@ class Lattice:
                 out[i] = self._long(b" " + w)[0][-1]
         return out
 
-    def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected number of times that each piece is used in these words, each counted so often."""
-        total = np.zeros(len(self.pieces) + 1)
+    def expected(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, float]:
+        """Expected number of times that each piece is used in these words, each counted so often, and their log probability."""
+        total, told = np.zeros(len(self.pieces) + 1), 0.0
         for some, matrix in self._groups(words):
             arcs, m = self._arcs(matrix), len(some)
             size = len(arcs[0])
@@ -144,6 +148,7 @@ class Lattice:
             for i in range(size - 1, -1, -1):
                 beta[i] = self._sum([self.log[arcs[n - 1][i]] + beta[i + n] for n in range(1, min(size - i, len(arcs)) + 1)])
             weight = np.log(counts[some].astype(float)) - alpha[-1]
+            told += float(counts[some] @ alpha[-1])
             for n, piece in enumerate(arcs, 1):
                 i, j = np.nonzero(piece >= 0)
                 found = piece[i, j]
@@ -154,6 +159,7 @@ class Lattice:
             if len(w) > LONG:
                 w = b" " + w
                 alpha, arcs = self._long(w)
+                told += c * alpha[-1]
                 beta = [-math.inf] * len(w) + [0.0]
                 for i in range(len(w) - 1, -1, -1):
                     terms = [float(self.log[p]) + beta[j] for j, p in arcs[i]]
@@ -161,7 +167,7 @@ class Lattice:
                     beta[i] = top + math.log(sum(math.exp(t - top) for t in terms))
                     for j, p in arcs[i]:
                         total[p] += c * math.exp(alpha[i] + float(self.log[p]) + beta[j] - alpha[-1])
-        return total[:-1]
+        return total[:-1], told
 
     def _long(self, w: bytes) -> tuple[list[float], list[list[tuple[int, int]]]]:
         """The recursion over one word, by plain loops: forward sums and the arcs from each position."""
@@ -209,29 +215,43 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def _expected(pieces: list[bytes], p: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, total = Lattice(pieces, p), np.zeros(len(pieces) + 1)
+        lattice, total, told = Lattice(pieces, p), np.zeros(len(pieces) + 1), 0.0
         for batch in batches:
             words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             real = [i for i, w in enumerate(words) if w != END]
             total[-1] += n.sum() - n[real].sum()
             for at in range(0, len(real), 50_000):
                 some = real[at : at + 50_000]
-                total[:-1] += lattice.expected([words[i] for i in some], n[some])
+                found, log = lattice.expected([words[i] for i in some], n[some])
+                total[:-1] += found
+                told += log
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "n"])
+        told += total[-1] * lattice.end
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(total[used], told))], ["piece", "n"])
 
     return run
 
 
-def fit(words: DataFrame, path: str, rounds: int = ROUNDS) -> tuple[list[bytes], np.ndarray]:
-    """The vocabulary and its probabilities after rounds of expectation-maximisation over all words."""
-    pieces, p = vocabulary(path)
-    for _ in range(rounds):
+def fit(words: DataFrame, path: str, tokens: int, rounds: int = ROUNDS, gain: float = GAIN, prior: float = PRIOR) -> tuple[list[bytes], np.ndarray]:
+    """The vocabulary and its probabilities: its scores as a prior, and expectation-maximisation over all words.
+
+    Ends after a round that told less than `gain` (log10 a token) more than the one before.  Without
+    words, or without rounds, the scores alone weight the lattice.
+    """
+    pieces, scored = vocabulary(path)
+    p, last = scored, -math.inf
+    for _ in range(rounds if tokens else 0):
         found = words.mapInArrow(_expected(pieces, p), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # a row for each piece at most
-        p = np.full(len(pieces) + 1, SMOOTH)
+        p, told = prior * scored, 0.0
         for r in found:
-            p[r["piece"]] += r["n"]
+            if r["piece"] < 0:
+                told = r["n"] / tokens / math.log(10)
+            else:
+                p[r["piece"]] += r["n"]
         p /= p.sum()
+        if told - last < gain:
+            break
+        last = told
     return pieces, p
 
 
@@ -304,7 +324,7 @@ def scores(docs: DataFrame, path: str, head_words: int = HEAD_WORDS, rounds: int
     words = word_counts(docs)
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count(F.lit(1)).alias("V")).first()
     denominator = math.log10(sums["N"] + 0.5 * (sums["V"] + 1))
-    model = fit(words, path, rounds)
+    model = fit(words, path, int(sums["N"]), rounds)
     # The head: all words with 2**least occurrences or more, for the smallest such bound that keeps it small.
     levels = {r["b"]: r["count"] for r in words.groupBy(F.floor(F.log2(F.col("n"))).cast("int").alias("b")).count().collect()}  # 63 rows at most
     least, size = 63, 0
