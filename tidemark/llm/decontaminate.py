@@ -106,8 +106,13 @@ def _item_seeds(w: Column, placed: dict) -> Column:
 # The outer forms of explode keep Spark from testing the seeds' number below, where it would work them out again.
 def _seeds(w: Column, shapes: list[tuple[tuple[int, ...], int]]) -> Column:
     """An array for each place: a hash for each mask that begins there and doesn't leave the text."""
-    each = lambda i: F.array(*[F.when(F.size(w) - i > shape[-1], _hash(w, i, shape, number)) for shape, number in shapes])
-    return F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), F.size(w) - 1), each))
+    short = min(shape[-1] for shape, _ in shapes)
+
+    def one(i: Column, shape: tuple[int, ...], number: int) -> Column:
+        found = _hash(w, i, shape, number)
+        return found if shape[-1] == short else F.when(F.size(w) - i > shape[-1], found)
+
+    return F.when(F.size(w) > short, F.transform(F.sequence(F.lit(0), F.size(w) - short - 1), lambda i: F.array(*[one(i, shape, number) for shape, number in shapes])))
 
 
 def _text(column: str = "text") -> Column:
