@@ -45,7 +45,9 @@ TILE = 131_072
 #: The near copies' shingles, similarity, lanes, and the radius for half of the lanes and for all.
 COPY_WORDS, SIMILARITY = 5, 0.8
 LANES, HALF_RADIUS, COPY_RADIUS = 4, 45, 76
-COPY_TILE = 65_536
+COPY_TILE = 32_768
+#: Comparisons that a task takes about, and tasks at most: a tile pair has few bytes and much work.
+TASK_COMPARISONS, TASKS = 200_000_000, 20_000
 COMPONENT_BYTES = 64 << 20
 #: Rows of narrow tables that are broadcast at most: 64 bytes each.
 BROADCAST_ROWS = 1 << 20
@@ -211,12 +213,13 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int |
     kind = nodes.schema["node"].dataType.simpleString()
     bits = F.aggregate("lanes", F.lit(0), lambda n, x: n + F.bit_count(x).cast("int"))
     counted = nodes.groupBy(bits.alias("p")).count().collect()  # a row for each population count
-    splits = {r["p"]: -(-r["count"] // tile) for r in counted}
+    sizes = {r["p"]: r["count"] for r in counted}
+    splits = {p: -(-n // tile) for p, n in sizes.items()}
     if not splits:
         return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false")
     if half is not None:  # the radius rules out next to nothing: tiles need not keep to one count
-        low, total = min(splits), sum(r["count"] for r in counted)
-        splits = {low: -(-total // tile)}
+        low, total = min(sizes), sum(sizes.values())
+        sizes, splits = {low: total}, {low: -(-total // tile)}
         bits = F.lit(low)
     table = spark.createDataFrame(sorted(splits.items()), "p int, m int")
     tiles = (
@@ -227,7 +230,9 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int |
     met = tiles.join(F.broadcast(near), "p").withColumn("t", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))  # population counts squared at most
     mine, theirs = F.struct("p", "s"), F.struct(F.col("q").alias("p"), F.col("t").alias("s"))
     pairs = met.select(F.least(mine, theirs).alias("a"), F.greatest(mine, theirs).alias("b"), F.when(mine <= theirs, 0).otherwise(1).alias("side"), "packed")
-    return pairs.groupBy("a", "b").applyInArrow(_compare(radius, half), f"u {kind}, v {kind}")
+    work = sum(m * n for p, m in sizes.items() for q, n in sizes.items() if abs(p - q) <= radius) // 2
+    tasks = max(8, min(TASKS, work // TASK_COMPARISONS))
+    return pairs.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(_compare(radius, half), f"u {kind}, v {kind}")
 
 
 def components(edges: DataFrame) -> DataFrame:
