@@ -51,6 +51,8 @@ TASK_COMPARISONS, TASKS = 200_000_000, 20_000
 COMPONENT_BYTES = 64 << 20
 #: Rows of narrow tables that are broadcast at most: 64 bytes each.
 BROADCAST_ROWS = 1 << 20
+#: Tasks that one star's edges are dealt to.
+SALTS = 16
 _CELLS = 1 << 19
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -235,6 +237,12 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int |
     return pairs.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(_compare(radius, half), f"u {kind}, v {kind}")
 
 
+def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges with their u's least neighbour; a star's edges are dealt to SALTS tasks, each with a copy of that one row."""
+    rows = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return rows.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node of the component; only nodes that have an edge.
 
@@ -248,9 +256,9 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _star(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
+        small = _star(large, low).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
         state = small.select("e.u", "e.v").where("u <> v").distinct().checkpoint()
 
 
