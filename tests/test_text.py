@@ -56,3 +56,27 @@ def test_difference_is_strict_and_relative_to_the_first(spark):
     rows = [("m", 0, 0, "a", 0.0), ("m", 1, 0, "b", 1.0), ("m", 2, 0, "c", 1.005), ("m", 3, 0, "d", 1.02)]
     found = analysis.inconsistencies(spark.createDataFrame(rows, "metric string, ord long, nth long, source_name string, value double"))
     assert {(r["value_a"], r["value_b"]) for r in found.collect()} == {(1.0, 1.02), (1.005, 1.02)}
+
+
+def test_coercion_of_labels_and_ranges(spark):
+    rows = spark.createDataFrame([("odd", 3.0, 1.7), ("bearish", -3.0, -1.0), ("neutral", float("nan"), float("nan")), (None, 0.5, 0.25)], "l string, s double, c double")
+    got = [tuple(r) for r in rows.select(*analysis.coerced(F.col("l"), F.col("s"), F.col("c"))).collect()]
+    assert got == [("neutral", 1.0, 1.0), ("bearish", -1.0, 0.0), ("neutral", 1.0, 1.0), ("neutral", 0.5, 0.25)]
+
+
+def test_ties_and_nulls_in_the_summary(spark):
+    rows = [("x", 2, "bearish", 0.0, 0.5, "s2", "two"), ("x", 1, "bullish", 1.0, None, "s1", "one"), ("y", 3, "neutral", None, None, None, None)]
+    found = analysis.summary(spark.createDataFrame(rows, "canonical_name string, ord long, label string, score double, confidence double, source_name string, evidence_span string"))
+    assert [(r["canonical_name"], r["dominant_label"], r["avg_score"], r["avg_confidence"], r["sources"], r["evidence"]) for r in found.collect()] == [("x", "bullish", 0.5, 0.5, "s1|s2", "one"), ("y", "neutral", None, None, "", None)]
+    assert analysis.summary(found.limit(0).select("canonical_name", F.lit(1).alias("ord"), F.lit("a").alias("label"), F.lit(1.0).alias("score"), F.lit(1.0).alias("confidence"), F.lit("s").alias("source_name"), F.lit("e").alias("evidence_span"))).count() == 0
+
+
+def test_results_do_not_depend_on_the_partitions(spark):
+    from tidemark.plans import catalog
+
+    seen = []
+    for n in ("1", "4", "17"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        seen.append([sorted(map(str, catalog.QUERIES[q](spark, "/root/testdata/sf0.001").collect())) for q in ("cap_then_dedup", "ner_batches", "unresolved_surfaces", "unresolved_flags")])
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1] == seen[2]

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import rendered
+from tidemark.runtime import materialise
 
 LABELS = ("bullish", "bearish", "neutral")
 LEAST_CONFIDENCE, LEAST_DIFFERENCE = 0.6, 0.005
@@ -47,6 +48,7 @@ def conflicts(rows: DataFrame) -> DataFrame:
     pair is wanted, so the result has bulls x bears rows for each entity; an entity's are dealt out.
     """
     sure = rows.where((F.col("confidence") >= LEAST_CONFIDENCE) & F.col("label").isin("bullish", "bearish"))
+    sure = materialise(sure.select("canonical_id", "canonical_name", "ord", "label", "confidence", "source_name"), "sure")  # both sides, from one pass over the texts
     a, b = (sure.select("canonical_id", *([F.col("canonical_name")] if x == "a" else []), *[F.col(c).alias(f"{c}_{x}") for c in ("ord", "label", "confidence", "source_name")]) for x in "ab")
     return _salted(a, b, "canonical_id", "ord_a").where("ord_a < ord_b AND label_a <> label_b AND source_name_a <> source_name_b")
 
@@ -54,15 +56,19 @@ def conflicts(rows: DataFrame) -> DataFrame:
 def summary(rows: DataFrame) -> DataFrame:
     """For each canonical name: means, the commonest label (first seen on a tie), sources, first evidence."""
     place = F.struct(*[c for c in ("ord", "nth", "alias_ord") if c in rows.columns])
-    counts = rows.groupBy("canonical_name", "label").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    mode = counts.groupBy("canonical_name").agg(F.min_by("label", F.struct(-F.col("n"), "first")).alias("dominant_label"))
-    each = rows.groupBy("canonical_name").agg(
-        F.avg("score").alias("avg_score"),
-        F.avg("confidence").alias("avg_confidence"),
-        F.array_join(F.array_sort(F.collect_set("source_name")), "|").alias("sources"),
-        F.min_by("evidence_span", place).alias("evidence"),
+    # One pass: by name and label first, then by name.
+    each = rows.groupBy("canonical_name", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.sum("score").alias("score"), F.count("score").alias("scores"), F.sum("confidence").alias("confidence"), F.count("confidence").alias("confidences"),
+        F.collect_set("source_name").alias("sources"), F.min_by("evidence_span", place).alias("evidence"),
+    )
+    out = each.groupBy("canonical_name").agg(
+        F.try_divide(F.sum("score"), F.sum("scores")).alias("avg_score"),
+        F.try_divide(F.sum("confidence"), F.sum("confidences")).alias("avg_confidence"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))), "|").alias("sources"),
+        F.min_by("evidence", "first").alias("evidence"),
+        F.min_by("label", F.struct(-F.col("n"), "first")).alias("dominant_label"),
     )
-    return each.join(mode, "canonical_name").orderBy("canonical_name")
+    return out.orderBy("canonical_name")
 
 
 def readings(items: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
@@ -85,7 +91,7 @@ def inconsistencies(found: DataFrame) -> DataFrame:
     earlier reading.
     """
     place = F.struct("ord", "nth")
-    each = found.groupBy("metric", "value", "source_name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    each = materialise(found.groupBy("metric", "value", "source_name").agg(F.min(place).alias("first"), F.max(place).alias("last")), "readings")
     a = each.where("value <> 0").select("metric", F.col("value").alias("value_a"), F.col("source_name").alias("source_a"), "first")
     b = each.select("metric", F.col("value").alias("value_b"), F.col("source_name").alias("source_b"), "last")
     difference = F.abs(F.col("value_a") - F.col("value_b")) / F.abs("value_a")

@@ -52,4 +52,4 @@ def union_items(parts: list[DataFrame]) -> DataFrame:
     all_ = reduce(DataFrame.unionByName, parts)
     rank = F.array_position(F.array(*[F.lit(k) for k in REGISTRY]), F.col("source_key"))
     named = all_.withColumns({"id": F.concat("source_key", F.lit("-"), F.col("ord").cast("string")), "ord": rank * 1_000_000 + F.col("ord")})
-    return content_items(named).withColumn("numbers", t.numbers_in_context(F.col("combined")))
+    return content_items(named).withColumns({"numbers": t.numbers_in_context(F.col("combined")), "extracted_at": F.current_timestamp()})
