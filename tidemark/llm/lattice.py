@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from tidemark.llm.tokens import tokenizer_path
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS = 1 << 18
 #: Rounds of the fit at most, and the gain in log10 a token under which it ends.
-ROUNDS, GAIN = 8, 0.02
+ROUNDS, GAIN = 8, 0.1
 #: Words longer than this many bytes take the recursion one by one.
 LONG = 64
 #: Tokens that the vocabulary's own scores count as, beside the expected counts.
@@ -284,14 +285,20 @@ def _scored(model, head):
         at: dict[bytes, int] = {}
         names: list[bytes] = []
         logs, bases, rare = np.zeros(0), np.zeros(0), np.zeros(0, bool)
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        columns = [x.split()[0] for x in PARTS.split(", ")]
+
+        def batch_of(ids, sig, words, counts, one: int, *rest) -> pa.RecordBatch:
+            parts = (ids, sig, words, counts, np.full(len(sig), one), *rest)
+            return pa.RecordBatch.from_arrays([pa.array(x if k != pa.int64() or not isinstance(x, np.ndarray) else x.astype(np.int64), k) for x, k in zip(parts, kinds)], columns)
+
         for batch in batches:
             for ids, texts in slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                split = [words_of(t) for t in texts]
+                split = [[*words_of(t), END] for t in texts]
+                flat = list(chain.from_iterable(split))
                 if len(at) > _KEPT:
                     at, names, logs, bases, rare = {}, [], np.zeros(0), np.zeros(0), np.zeros(0, bool)
-                new = [w for w in dict.fromkeys(w for words in split for w in words) if w not in at]
-                if not at:
-                    new.append(END)
+                new = [w for w in dict.fromkeys(flat) if w not in at]
                 at.update(zip(new, range(len(at), len(at) + len(new))))
                 names += new
                 h = _hash(new)
@@ -303,16 +310,19 @@ def _scored(model, head):
                 logs = np.concatenate([logs, marginal])
                 bases = np.concatenate([bases, np.where(held, np.log10(np.where(held, n[spot] if len(known) else 0, 0) + 0.5), 0)])
                 rare = np.concatenate([rare, ~held])
-                out: list[tuple] = []
-                for d, t, words in zip(ids, texts, split):
-                    sig = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
-                    found = np.fromiter([*map(at.__getitem__, words), at[END]], np.int64, len(words) + 1)
-                    seldom = rare[found]
-                    out.append((d, sig, f" {d} {sig}".encode(), 0, 1, len(found), len(found) - int(seldom.sum()), float(bases[found].sum()), float(logs[found].sum())))
-                    for i, c in Counter(found[seldom].tolist()).items():
-                        out.append((d, sig, names[i], c, 0, 0, 0, 0.0, 0.0))
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [x.split()[0] for x in PARTS.split(", ")])
+                found = np.fromiter(map(at.__getitem__, flat), np.int64, len(flat))
+                size = np.fromiter(map(len, split), np.int64, len(split))
+                owner = np.repeat(np.arange(len(split)), size)
+                seldom = rare[found]
+                sums = [np.bincount(owner, x[found], len(split)) for x in (bases, logs)]
+                few = np.bincount(owner, seldom, len(split)).astype(np.int64)
+                sig = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], np.uint64).view(np.int64)
+                yield batch_of(ids, sig, [f" {d} {x}".encode() for d, x in zip(ids, sig.tolist())], np.zeros(len(split), np.int64), 1, size, size - few, *sums)
+                # Each text's other words, once each.
+                pair, count = np.unique(owner[seldom] * len(names) + found[seldom], return_counts=True)
+                doc, word = np.divmod(pair, max(1, len(names)))
+                no = np.zeros(len(pair))
+                yield batch_of(pa.array(ids, pa.int64()).take(pa.array(doc)), sig[doc], [names[i] for i in word.tolist()], count, 0, no, no, no, no)
 
     return run
 
