@@ -25,6 +25,11 @@ METRICS = {
     "CPI": r"(?:CPI|consumer price index)\D{0,20}(\d+\.?\d*)\s*%",
     "GDP": r"(?:GDP|gross domestic product)\D{0,20}(\d+\.?\d*)\s*%",
 }
+# The flags' messages.
+CONFLICT = "'{name}' is {la} ({ca:.2f}) per {sa}, but {lb} ({cb:.2f}) per {sb}."
+LOST = "Entity '{form}' (type: {kind}) could not be resolved."
+DOUBTFUL = "Entity '{form}' resolved to '{id}' with low confidence ({sure:.2f})."
+APART = "'{metric}' shows inconsistent values across sources: {va} ({sa}) vs {vb} ({sb}), difference: {d:.1%}."
 # Price for 1000 tokens in and out, the first model name contained wins.
 PRICES = (("gpt-4o-mini", "0.00015", "0.0006"), ("gpt-4o", "0.0025", "0.01"), ("gpt-4-turbo", "0.01", "0.03"))
 OTHER_PRICE = ("0.001", "0.003")
@@ -110,20 +115,20 @@ def _flags(rows: DataFrame, family: int, kind: str, entity: Column, details: Col
 
 def conflict_flags(pairs: DataFrame) -> DataFrame:
     """One flag a pair, never folded."""
-    said = rendered("'{name}' is {la} ({ca:.2f}) per {sa}, but {lb} ({cb:.2f}) per {sb}.", name=F.col("canonical_name"), la=F.col("label_a"), ca=F.col("confidence_a"), sa=F.col("source_name_a"), lb=F.col("label_b"), cb=F.col("confidence_b"), sb=F.col("source_name_b"))
+    said = rendered(CONFLICT, name=F.col("canonical_name"), la=F.col("label_a"), ca=F.col("confidence_a"), sa=F.col("source_name_a"), lb=F.col("label_b"), cb=F.col("confidence_b"), sb=F.col("source_name_b"))
     return _flags(pairs, 0, "sentiment_conflict", F.col("canonical_id"), said, F.array("source_name_a", "source_name_b"), _place(F.col("ord_a"), F.col("ord_b")))
 
 
 def resolution_flags(low: DataFrame) -> DataFrame:
     """low: rows of ``entities.unresolved_flags``."""
-    lost = F.concat(F.lit("Entity '"), "surface_form", F.lit("' (type: "), "entity_type", F.lit(") could not be resolved."))
-    doubtful = rendered("Entity '{form}' resolved to '{id}' with low confidence ({sure:.2f}).", form=F.col("surface_form"), id=F.coalesce("canonical_id", F.lit("")), sure=F.col("resolution_confidence"))
+    lost = rendered(LOST, form=F.col("surface_form"), kind=F.col("entity_type"))
+    doubtful = rendered(DOUBTFUL, form=F.col("surface_form"), id=F.coalesce("canonical_id", F.lit("")), sure=F.col("resolution_confidence"))
     return _flags(low, 1, "unresolved_entity", F.col("canonical_id"), F.when(F.col("canonical_id").isNull(), lost).otherwise(doubtful), F.array("source_content_id"), _place(F.col("place.ord"), F.col("place.alias_ord")))
 
 
 def number_flags(found: DataFrame) -> DataFrame:
     """found: rows of ``inconsistencies``; of flags with one message the first stays."""
-    said = rendered("'{metric}' shows inconsistent values across sources: {va} ({sa}) vs {vb} ({sb}), difference: {d:.1%}.", metric=F.col("metric"), va=F.col("value_a"), sa=F.col("source_a"), vb=F.col("value_b"), sb=F.col("source_b"), d=F.col("difference"))
+    said = rendered(APART, metric=F.col("metric"), va=F.col("value_a"), sa=F.col("source_a"), vb=F.col("value_b"), sb=F.col("source_b"), d=F.col("difference"))
     rows = _flags(found, 2, "numeric_inconsistency", F.lit(None), said, F.array("source_a", "source_b"), _place(F.col("first.ord"), F.col("first.nth")))
     return rows.groupBy("flag_type", "entity_id", "details", "family").agg(F.min_by("sources", "place").alias("sources"), F.min("place").alias("place")).select(*rows.columns)
 

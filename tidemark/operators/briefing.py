@@ -13,9 +13,10 @@ from tidemark.functions.text import rendered
 from tidemark.operators.annotate import REQUEST
 
 EVIDENCE_CHARS, WARMTH = 100, 0.3
-# Audiences, the sentences for empty parts, the placeholder, the line of a summary.
+# Audiences, headings, the sentences for empty parts, the placeholder, the line of a summary.
 AUDIENCES = ("trader", "analyst", "executive")
 NO_SENTIMENT, NO_FLAGS, FAILED = "No entities with sentiment found.", "No QA flags raised.", "[Briefing generation failed for audience: {}]"
+KNOWN, RAISED = "## Entity Sentiment Summary ({known} entities identified)", "## QA Flags"
 LINE = '- {name}: {label} (avg score {score:+.2f}, confidence {confidence:.2f}) | sources: {sources} | evidence: "{evidence}..."'
 
 VOICES = {
@@ -43,7 +44,7 @@ def context(summary: DataFrame, flags: DataFrame, entities: DataFrame) -> DataFr
     known = entities.agg(F.count(F.lit(1)).alias("known"))
     one = told.crossJoin(raised).crossJoin(known)  # one row each
     part = lambda c, other: F.when(F.col(c) == "", other).otherwise(F.col(c))
-    return one.select(F.concat(F.lit("## Entity Sentiment Summary ("), F.col("known").cast("string"), F.lit(" entities identified)\n"), part("told", NO_SENTIMENT), F.lit("\n\n## QA Flags\n"), part("raised", NO_FLAGS)).alias("context"))
+    return one.select(F.concat(rendered(KNOWN, known=F.col("known")), F.lit("\n"), part("told", NO_SENTIMENT), F.lit(f"\n\n{RAISED}\n"), part("raised", NO_FLAGS)).alias("context"))
 
 
 def requests(spark: SparkSession, about: DataFrame, model: str) -> DataFrame:

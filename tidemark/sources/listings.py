@@ -25,6 +25,7 @@ NEXT_DATA = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.+?)</script>'
 MARKETS_TITLE, FED_TITLE, IMF_TITLE, REUTERS_TITLE = 15, 10, 15, 20
 MARKETS_ITEMS, FED_ITEMS, IMF_ITEMS, REUTERS_ITEMS, REUTERS_ELEMENTS = 30, 20, 20, 20, 200
 ARTICLE_CHARS, PAGE_CHARS, OVERVIEW_CHARS, QUOTE_CHARS, QUOTE_PAGE_CHARS = 8000, 4000, 5000, 6000, 3000
+PRICE_TOLD, RATE_TOLD, CHANGE_TOLD, NOT_TOLD = "EUR/USD price: ", "EUR/USD rate: ", ", change: ", "N/A"
 QUOTE_TITLE, MARKETS_OVERVIEW, REUTERS_OVERVIEW = "EUR/USD Exchange Rate", "Yahoo Finance Markets Overview", "Reuters Currencies Market Overview"
 ITEM = ("source_key", "source_name", "ord", "source_url", "title", "body", "published_at")
 
@@ -62,8 +63,8 @@ def quote(pages: DataFrame) -> DataFrame:
     held = pages.select("page_url", "html", stores.alias("_s")).select(
         "page_url", "html",
         F.when(F.col("_s").isNotNull() & ~F.col("_s").cast("string").isin("null", "{}", "[]", '""', "0", "false"), F.struct(
-            F.coalesce(F.try_variant_get("_s", "$.regularMarketPrice.raw", "string"), F.lit("N/A")).alias("price"),
-            F.coalesce(F.try_variant_get("_s", "$.regularMarketChangePercent.fmt", "string"), F.lit("N/A")).alias("change"),
+            F.coalesce(F.try_variant_get("_s", "$.regularMarketPrice.raw", "string"), F.lit(NOT_TOLD)).alias("price"),
+            F.coalesce(F.try_variant_get("_s", "$.regularMarketChangePercent.fmt", "string"), F.lit(NOT_TOLD)).alias("change"),
         )).alias("_q"),
     )
     page = h.elements(held)
@@ -71,9 +72,9 @@ def quote(pages: DataFrame) -> DataFrame:
     price = h.first(found, lambda e: (e["tag"] == "fin-streamer") & (e["attrs"]["data-symbol"] == "EURUSD=X"))
     cells = lambda r: h.inside(h.tagged(found, "td"), r)
     rows = F.filter(F.transform(h.tagged(found, "tr"), cells), lambda c: F.size(c) == 2)
-    parts = F.concat(F.when(price.isNotNull(), F.array(F.concat(F.lit("EUR/USD price: "), price["text"]))).otherwise(F.array().cast("array<string>")), F.transform(rows, lambda c: F.concat(F.get(c, F.lit(0))["text"], F.lit(": "), F.get(c, F.lit(1))["text"])))
+    parts = F.concat(F.when(price.isNotNull(), F.array(F.concat(F.lit(PRICE_TOLD), price["text"]))).otherwise(F.array().cast("array<string>")), F.transform(rows, lambda c: F.concat(F.get(c, F.lit(0))["text"], F.lit(": "), F.get(c, F.lit(1))["text"])))
     seen = F.when(F.size(parts) > 0, F.array_join(parts, " | ")).otherwise(F.substring(h.page_text(found), 1, QUOTE_PAGE_CHARS))
-    told = F.concat(F.lit("EUR/USD rate: "), F.col("_q.price"), F.lit(", change: "), F.col("_q.change"), F.lit("%"))
+    told = F.concat(F.lit(RATE_TOLD), F.col("_q.price"), F.lit(CHANGE_TOLD), F.col("_q.change"), F.lit("%"))
     body = F.when(F.col("_q").isNotNull(), told).otherwise(F.substring(seen, 1, QUOTE_CHARS))
     return _items(page, "yahoo_eurusd", F.filter(F.array(_row(F.lit(QUOTE_TITLE), body)), lambda x: x["body"] != ""))
 
