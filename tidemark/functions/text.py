@@ -118,7 +118,7 @@ def rendered(template: str, **values: Column) -> Column:
 
     A null in any value gives null.
     """
-    names = [n for _, n, _, _ in Formatter().parse(template) if n]
+    names = list(dict.fromkeys(n for _, n, _, _ in Formatter().parse(template) if n))
 
     @F.pandas_udf("string")
     def render(rows: pd.DataFrame) -> pd.Series:
