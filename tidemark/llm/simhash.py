@@ -4,19 +4,20 @@
 2. Distinct nodes are grouped in tiles of one population count, split by a hash where a tile would pass
    TILE rows.  Fingerprints within the radius differ in population count by at most the radius, so
    only such tile pairs meet; each pair is one group of two packed rows.
-3. Within a pair, one lane: rows are ordered by the population count of their upper half, which rules
-   out further blocks; several lanes: the first half of them decides for most rows.  A task returns a
-   spanning forest of the links it found, at most one edge a node, so a large group of copies never
-   becomes all its pairs.
+3. Within a pair, rows are ordered by the population count of their upper half, which rules out further
+   blocks.  A task returns a spanning forest of the links it found, at most one edge a node, so a large
+   group of copies never becomes all its pairs.
 4. Components of the forest by alternating large and small stars over DataFrames.
 
 ``near_duplicates`` links fingerprints of one lane within a radius.  ``near_copies`` uses a fingerprint
 of several lanes, wide enough that a pair at SIMILARITY is within COPY_RADIUS but for about one in a
 hundred thousand, and then lets the shingle sets decide: linked is what has that Jaccard similarity
-exactly.  A component of candidates that fills more than COMPONENT_BYTES is dealt to pairs of tiles.
+exactly.  Only texts that share one of their least shingle hashes are compared (``prefix``: pairs at
+SIMILARITY all do), a bucket for each such set of texts; a bucket of more than COPY_TILE is dealt to
+pairs of tiles, and so is a component of candidates that fills more than COMPONENT_BYTES.
 
-Comparisons grow with the square of the distinct nodes; that is the method.  A tile pair takes some
-20 seconds at most, whatever the input.
+``near_duplicates`` takes comparisons by the square of the distinct nodes; that is the method.  A tile
+pair takes some 20 seconds at most, whatever the input.
 
 Defined results: a null or empty text has no words: fingerprint zero, or an empty shingle set, linked
 like any other; texts of fewer words than a shingle are one shingle; rows that repeat a doc_id each
@@ -29,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,8 @@ TILE = 131_072
 COPY_WORDS, SIMILARITY = 5, 0.8
 LANES, HALF_RADIUS, COPY_RADIUS = 4, 45, 76
 COPY_TILE = 32_768
+#: Hashes of prefixes, and rows of buckets, that a task takes about.
+PREFIX_HASHES, BUCKET_ROWS = 1 << 19, 20_000
 #: Comparisons that a task takes about, and tasks at most: a tile pair has few bytes and much work.
 TASK_COMPARISONS, TASKS = 200_000_000, 20_000
 COMPONENT_BYTES = 64 << 20
@@ -134,29 +138,8 @@ def _near_one(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.nd
             yield ii + i, jj + left
 
 
-def _near_wide(a: np.ndarray, b: np.ndarray, half: int, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within `half` over the first half of the lanes and within the radius over all."""
-    first = a.shape[1] // 2
-    columns = [np.ascontiguousarray(b[:, k]) for k in range(first)]
-    width = 1 << 14
-    for i in range(0, len(a), 32):
-        rows = a[i : i + 32]
-        for j in range(i if same else 0, len(b), width):
-            x = np.bitwise_count(rows[:, :1] ^ columns[0][None, j : j + width])
-            for k in range(1, first):
-                x += np.bitwise_count(rows[:, k : k + 1] ^ columns[k][None, j : j + width])
-            ii, jj = np.nonzero(x <= half)
-            if len(ii):
-                ii, jj = ii + i, jj + j
-                near = np.bitwise_count(a[ii] ^ b[jj]).sum(1, dtype=np.int64) <= radius
-                yield ii[near], jj[near]
-
-
-def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int, half: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(child, root): a forest over the rows of one tile (b None) or two, a's first, that joins all that are linked.
-
-    Rows are words of 64 bits, or several of them each; half is the bound for the first half of these.
-    """
+def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(child, root): a forest over the rows of one tile (b None) or two, a's first, that joins all that are linked."""
     n = len(a) + (0 if b is None else len(b))
     root = np.arange(n)
     parent = root.tolist()
@@ -167,13 +150,8 @@ def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int, half: int |
             x = parent[x]
         return x
 
-    if a.ndim == 1:
-        place = [np.argsort(np.bitwise_count(x >> np.uint64(32)), kind="stable") for x in ([a] if b is None else [a, b])]
-        pairs = _near_one(a[place[0]], a[place[0]] if b is None else b[place[1]], radius)
-    else:
-        place = [np.arange(len(a)), np.arange(0 if b is None else len(b))]
-        pairs = _near_wide(a, a if b is None else b, half, radius, b is None)
-    for ii, jj in pairs:
+    place = [np.argsort(np.bitwise_count(x >> np.uint64(32)), kind="stable") for x in ([a] if b is None else [a, b])]
+    for ii, jj in _near_one(a[place[0]], a[place[0]] if b is None else b[place[1]], radius):
         ii, jj = place[0][ii], place[-1 if b is not None else 0][jj] + (0 if b is None else len(a))
         new = root[ii] != root[jj]
         ii, jj = ii[new], jj[new]
@@ -191,25 +169,23 @@ def spanning_links(a: np.ndarray, b: np.ndarray | None, radius: int, half: int |
     return child, root[child]
 
 
-def _compare(radius: int, half: int | None):
+def _compare(radius: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         nodes, words = {}, {}
         for side, packed in zip(table.column("side").to_pylist(), table.column("packed")):
             held = packed.values
-            nodes[side], lanes = held.field("node"), held.field("lanes")
-            flat = np.asarray(lanes.flatten()).view(np.uint64)
-            words[side] = flat if half is None else flat.reshape(len(held), -1)
-        u, v = spanning_links(words[0], words.get(1), radius, half)
+            nodes[side], words[side] = held.field("node"), np.asarray(held.field("lanes").flatten()).view(np.uint64)
+        u, v = spanning_links(words[0], words.get(1), radius)
         all_nodes = pa.concat_arrays([nodes[s] for s in sorted(nodes)])
         return pa.table({"u": all_nodes.take(pa.array(u)), "v": all_nodes.take(pa.array(v))})
 
     return run
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int | None = None) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """(u, v): edges that connect exactly the nodes that are reachable over links.
 
-    nodes: distinct `node`, and `lanes`, its fingerprint as an array of longs.
+    nodes: distinct `node`, and `lanes`, its fingerprint as an array of one long.
     """
     spark = nodes.sparkSession
     kind = nodes.schema["node"].dataType.simpleString()
@@ -219,10 +195,6 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int |
     splits = {p: -(-n // tile) for p, n in sizes.items()}
     if not splits:
         return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).where("false")
-    if half is not None:  # the radius rules out next to nothing: tiles need not keep to one count
-        low, total = min(sizes), sum(sizes.values())
-        sizes, splits = {low: total}, {low: -(-total // tile)}
-        bits = F.lit(low)
     table = spark.createDataFrame(sorted(splits.items()), "p int, m int")
     tiles = (
         nodes.withColumn("p", bits).join(F.broadcast(table), "p")  # a row for each population count
@@ -234,7 +206,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE, half: int |
     pairs = met.select(F.least(mine, theirs).alias("a"), F.greatest(mine, theirs).alias("b"), F.when(mine <= theirs, 0).otherwise(1).alias("side"), "packed")
     work = sum(m * n for p, m in sizes.items() for q, n in sizes.items() if abs(p - q) <= radius) // 2
     tasks = max(8, min(TASKS, work // TASK_COMPARISONS))
-    return pairs.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(_compare(radius, half), f"u {kind}, v {kind}")
+    return pairs.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(_compare(radius), f"u {kind}, v {kind}")
 
 
 def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
@@ -332,18 +304,119 @@ def linked_sets(sets: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray
     return first[group]
 
 
+def prefix(held: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """The set's least hashes, so many that sets with a similarity of `least` or more share one of them.
+
+    Such sets have in common `least` of either one's hashes, and so many can't all come after the prefix.
+    """
+    return held[: len(held) - ceil(least * len(held) * (1 - 1e-12)) + 1]
+
+
+def _within(words: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """Whether rows i and j (the larger set) may have the similarity by their sizes and fingerprints."""
+    apart = np.bitwise_count(words[i] ^ words[j])
+    half = apart[:, : words.shape[1] // 2].sum(1, dtype=np.int64)
+    return (size[i] >= least * (1 - 1e-12) * size[j]) & (half <= HALF_RADIUS) & (apart.sum(1, dtype=np.int64) <= COPY_RADIUS)
+
+
+def linked_rows(words: np.ndarray, size: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """For each row of a bucket, ordered by size, the first of its group: groups are what the proposed pairs connect.
+
+    Rows of all groups but the one with most left meet the rows of a fitting size, some at a time; when a
+    single group has any left, no link can be missing, so a large group of copies takes few comparisons.
+    """
+    n, width, first = len(words), 1 << 14, words.shape[1] // 2
+    columns = [np.ascontiguousarray(words[:, k]) for k in range(first)]
+    root, left = np.arange(n), np.ones(n, bool)
+    while True:
+        waiting = np.bincount(root[left], minlength=n)
+        if np.count_nonzero(waiting) < 2:
+            return root
+        rows = np.flatnonzero(left & (root != waiting.argmax()))[:32]
+        left[rows] = False
+        lo = int(np.searchsorted(size, least * (1 - 1e-12) * size[rows[0]]))
+        hi = int(np.searchsorted(size, size[rows[-1]] / (least * (1 - 1e-12)), side="right"))
+        for at in range(lo, hi, width):
+            to = min(hi, at + width)
+            x = sum(np.bitwise_count(words[rows, k][:, None] ^ columns[k][None, at:to]) for k in range(first))
+            ii, jj = np.nonzero(x <= HALF_RADIUS)
+            ii, jj = rows[ii], jj + at
+            new = root[ii] != root[jj]
+            ii, jj = np.minimum(ii, jj)[new], np.maximum(ii, jj)[new]
+            near = _within(words, size, ii, jj)
+            for u, v in np.unique(np.stack([root[ii[near]], root[jj[near]]], 1), axis=0).tolist():
+                u, v = sorted((int(root[u]), int(root[v])))
+                if u != v:
+                    root[root == v] = u
+
+
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        texts, nodes, sizes, found = batch.column(2), [], [], []
+        texts, nodes, sizes, found, least = batch.column(2), [], [], [], []
         for i in range(len(texts)):
             held = shingle_set(texts[i].as_py())
             nodes.append(xxhash.xxh3_128_digest(held.tobytes()))
             sizes.append(len(held))
             found.append([_signed(x) for x in lanes_of(held)])
-        columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "node", "size", "lanes"])
+            least.append(prefix(held).tobytes())
+        keys = np.array([int.from_bytes(n[:8]) for n in nodes], np.uint64).view(np.int64)
+        columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(keys), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(least, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "node", "k", "size", "lanes", "prefix"])
+
+
+def _dealt(parts: int):
+    """Hashes of prefixes and the keys of their texts, packed by the hash's remainder; a batch's copies count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            h = np.frombuffer(b"".join(held.values()), np.uint64)
+            k = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) // 8 for x in held.values()])
+            p = (h % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(p, kind="stable")
+            h, k, p = h[order], k[order], p[order]
+            at = np.flatnonzero(np.diff(p, prepend=-1))
+            ends = [*at[1:].tolist(), len(p)]
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(at.tolist(), ends)], pa.binary()) for x in (h, k)]
+            yield pa.RecordBatch.from_arrays([pa.array(p[at], pa.int32()), *packed], ["p", "h", "k"])
+
+    return run
+
+
+def _shared(key: tuple, table: pa.Table) -> pa.Table:
+    """(bucket, k): the sets of texts that share a hash, each set once; bucket is a hash of the set."""
+    import xxhash
+
+    h, k = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("k", np.int64)))
+    order = np.lexsort((k, h))
+    h, k = h[order], k[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (k[1:] != k[:-1]))
+    h, k = h[new], k[new]
+    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    ends = np.append(starts[1:], len(h))
+    some = ends - starts > 1
+    sets = {k[a:b].tobytes() for a, b in zip(starts[some].tolist(), ends[some].tolist())}
+    bucket = np.repeat(np.array([_signed(xxhash.xxh3_64_intdigest(x)) for x in sets], np.int64), [len(x) // 8 for x in sets])
+    return pa.table({"bucket": pa.array(bucket), "k": pa.array(np.frombuffer(b"".join(sets), np.int64))})
+
+
+def _proposed(key: tuple, table: pa.Table) -> pa.Table:
+    """(u, v): for each bucket a forest that joins what the fingerprints propose."""
+    bucket, a, b, size = (table.column(c).to_numpy() for c in ("bucket", "a", "b", "size"))
+    order = np.lexsort((size, b, a, bucket))
+    bucket, a, b, size = bucket[order], a[order], b[order], size[order]
+    words = np.asarray(table.column("lanes").combine_chunks().flatten()).view(np.uint64).reshape(len(order), -1)[order]
+    starts = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    root, two = np.arange(len(order)), np.diff(starts, append=len(order)) == 2
+    x = starts[two]
+    root[x + 1] -= _within(words, size, x, x + 1)
+    for i, j in zip(starts[~two].tolist(), np.append(starts[1:], len(order))[~two].tolist()):
+        root[i:j] = i + linked_rows(words[i:j], size[i:j])
+    child = np.flatnonzero(root != np.arange(len(order)))
+    node = table.column("node").combine_chunks()
+    return pa.table({"u": node.take(pa.array(order[child])), "v": node.take(pa.array(order[root[child]]))})
 
 
 def _verified(key: tuple, table: pa.Table) -> pa.Table:
@@ -365,22 +438,40 @@ def _key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(_text()).alias("sig")]
 
 
+def _to_tiles(rows: DataFrame, key: str) -> DataFrame:
+    """rows without `m`, with (a, b): a copy for each pair of m tiles that a row is in; one tile is the pair (0, 0)."""
+    own = F.pmod(F.xxhash64(key), F.col("m")).cast("int")
+    other = F.when(F.col("m") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: j != own))
+    dealt = rows.withColumn("_k", own).withColumn("_j", F.explode(other))
+    return dealt.withColumn("a", F.least("_k", "_j")).withColumn("b", F.greatest("_k", "_j")).drop("m", "_k", "_j")
+
+
+def proposed(printed: DataFrame, nodes: DataFrame, tile: int = COPY_TILE) -> DataFrame:
+    """(u, v): edges that connect the nodes that fingerprints propose, of those that share a hash of their prefixes."""
+    of = nodes.agg(F.sum("size"), F.count(F.lit(1))).first()
+    parts = max(8, int((of[0] or 0) * (1 - SIMILARITY) + of[1]) // PREFIX_HASHES)
+    met = printed.select("k", "prefix").mapInArrow(_dealt(parts), "p int, h binary, k binary").groupBy("p").applyInArrow(_shared, "bucket long, k long")
+    met = materialise(met.distinct(), "copies-buckets")
+    large = met.groupBy("bucket").count().where(F.col("count") > tile).select("bucket", F.ceil(F.col("count") / tile).cast("int").alias("_m"))
+    dealt = _to_tiles(met.join(F.broadcast(large), "bucket", "left").withColumn("m", F.coalesce("_m", F.lit(1))).drop("_m"), "k")  # a row for `tile` rows at most
+    tasks = max(8, min(TASKS, met.count() // BUCKET_ROWS))
+    rows = dealt.join(nodes.select("k", "node", "size", "lanes"), "k").withColumn("q", F.pmod(F.xxhash64("bucket", "a", "b"), F.lit(tasks)))
+    return rows.repartition(tasks, "q").groupBy("q").applyInArrow(_proposed, "u binary, v binary")
+
+
 def near_copies(docs: DataFrame, component_bytes: int = COMPONENT_BYTES, tile: int = COPY_TILE) -> DataFrame:
     """(doc_id, sig, part, component_id) for every row of docs; part names the group, component_id is its smallest id."""
     prepare(docs.sparkSession)
     rows = docs.select(*_key(), _text().alias("text"))
-    printed = materialise(rows.mapInArrow(_sketches, "doc_id long, sig long, node binary, size long, lanes array<long>"), "copies-sketches")
-    nodes = printed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "sig")).alias("at"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.first("lanes").alias("lanes"))
+    printed = materialise(rows.mapInArrow(_sketches, "doc_id long, sig long, node binary, k long, size long, lanes array<long>, prefix binary"), "copies-sketches")
+    nodes = printed.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "sig")).alias("at"), F.count(F.lit(1)).alias("n"), F.first("k").alias("k"), F.first("size").alias("size"), F.first("lanes").alias("lanes"))
     nodes = materialise(nodes, "copies-nodes")
-    member = materialise(components(links(nodes.select("node", "lanes"), COPY_RADIUS, tile, HALF_RADIUS)).join(nodes.select("node", "at", "size"), "node"), "copies-candidates")
+    member = materialise(components(proposed(printed, nodes, tile)).join(nodes.select("node", "at", "size"), "node"), "copies-candidates")
     # Each half of a pair of tiles holds about half of what a task may.
     tiles = F.when(F.sum("size") * 8 <= component_bytes, 1).otherwise(F.ceil(F.sum("size") * 16 / component_bytes)).cast("int")
     sized = member.groupBy("root").agg(tiles.alias("m"))
     most = sized.agg(F.max("m")).first()[0] or 0
-    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
-    other = F.when(F.col("m") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda j: j != own))
-    dealt = member.join(sized, "root").select("root", "node", F.col("at.doc_id").alias("_id"), F.col("at.sig").alias("_sig"), own.alias("k"), F.explode(other).alias("j"))
-    dealt = dealt.select("root", "node", "_id", "_sig", F.least("k", "j").alias("a"), F.greatest("k", "j").alias("b"))
+    dealt = _to_tiles(member.join(sized, "root").select("root", "node", F.col("at.doc_id").alias("_id"), F.col("at.sig").alias("_sig"), "m"), "node")
     small = member.count() <= BROADCAST_ROWS
     texts = rows.join(F.broadcast(dealt) if small and most <= 1 else dealt, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sig") == F.col("_sig"))).select("root", "a", "b", "node", "text")
     edges = materialise(texts.groupBy("root", "a", "b").applyInArrow(_verified, "u binary, v binary"), "copies-links")
