@@ -4,7 +4,7 @@ A text is cut at single spaces between two characters that aren't white space an
 ends there.  Both pre-tokenizers used here start a new piece at such a place and never join across it,
 so the ids of the parts are the ids of the whole.  Arrow cuts the texts of one call and numbers their
 distinct words; the tokenizers library encodes each of these once, many in one text, and numpy puts the
-texts together again.  Nothing is held from one call to the next.
+texts together again.  From one call to the next the ids of HELD words at most are kept, none of them long.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 from string import punctuation
 
 import numpy as np
@@ -29,6 +29,8 @@ _MARK = "\x01"
 #: Letters that are one piece together, have no combining form and whose lower case is one letter.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _AT_ONCE = 1_000
+#: Words whose ids are kept, and characters of such a word at most: some 50 MB a worker.
+HELD, HELD_CHARS = 1 << 18, 48
 
 
 def _form(word: str) -> str:
@@ -62,6 +64,9 @@ class WordTokenizer:
         self.edge = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.edge[i] = token[:1] in ("Ġ", "Ċ") if self.spaced else token.endswith("</w>")
+        #: Each kept word's number; the ids of all, one after the other, and how many each has.
+        self.held: dict[str, int] = {}
+        self.held_ids, self.held_size = np.zeros(0, self.dtype), np.zeros(0, np.int64)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -90,7 +95,23 @@ class WordTokenizer:
         return [found[w] if w in found else self._whole(_form(w)) for w in words]
 
     def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all these words, one after the other, and how many each has."""
+        """Ids of all these distinct words, one after the other, and how many each has."""
+        some, known = words.to_pylist(), len(self.held)
+        at = np.fromiter(map(self.held.get, some, repeat(-1)), np.int64, len(some))
+        new = np.flatnonzero(at < 0)
+        ids, size = self._unknown(words.take(pa.array(new)))
+        at[new] = known + np.arange(len(new))
+        pool, sizes = np.concatenate([self.held_ids, ids]), np.concatenate([self.held_size, size])
+        starts = _starts(sizes)
+        if room := HELD - known:
+            keep = np.array([i for i in new.tolist() if len(some[i]) <= HELD_CHARS][:room], np.int64)
+            self.held.update(zip([some[i] for i in keep.tolist()], range(known, known + len(keep))))
+            self.held_ids = np.concatenate([self.held_ids, _gathered(pool, starts[at[keep]], sizes[at[keep]])])
+            self.held_size = np.concatenate([self.held_size, sizes[at[keep]]])
+        return _gathered(pool, starts[at], sizes[at]), sizes[at]
+
+    def _unknown(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """_encoded for words that aren't kept."""
         plain = pc.match_substring_regex(words, f"^\n?[{_LETTERS}]+$")
         pools, size, base = [np.zeros(0, self.dtype)], np.zeros(len(words), np.int64), 0
         start = np.zeros(len(words), np.int64)
