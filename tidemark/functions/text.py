@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f]"
 # The number pattern, the months, the length of texts for the annotator, of contexts and of evidence.
 NUMBER = r"(-?\d{1,3}(?:,\d{3})*(?:\.\d+)?)(?:\s*(%|bps|bp|bn|trn|mn|billion|trillion|million|USD|EUR|GBP|JPY|pct|pp))?"
+# As DuckDB's expressions take it: ASCII digits, five spaces, the long s is an s.  And what its \s and \p{Z} strip.
+PLAIN_NUMBER = re.sub("s", "[sſ]", NUMBER.replace(r"\s", r"[\t\n\f\r ]"), flags=re.I)
+PLAIN_SPACE = "\t\n\f\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 MONTH_DATE = r"(January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},\s+\d{4}"
 ANNOTATED_CHARS, CONTEXT_CHARS, WINDOW_CHARS, EVIDENCE_CHARS = 12_000, 30, 800, 300
 
@@ -70,23 +73,25 @@ def numbers(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda x: F.struct(F.regexp_replace(x["v"], ",", "").cast("double").alias("value"), F.coalesce(x["u"], F.lit("")).alias("unit"))))
 
 
-def numbers_in_context(text: Column, around: int = CONTEXT_CHARS) -> Column:
+def numbers_in_context(text: Column, around: int = CONTEXT_CHARS, plain: bool = False) -> Column:
     """array<struct<value, unit, context_span>>: as ``numbers``, with the text around each first appearance.
 
     Offsets are beyond the JVM's regular expressions, so this one is an Arrow-batched function; digits
-    and spaces are Unicode's here.
+    and spaces are Unicode's here, and -0 and 0 are two numbers.  plain: they are one, of which the first
+    stays, and digits and spaces are those of SQL.
     """
 
     @F.pandas_udf("array<struct<value: double, unit: string, context_span: string>>")
     def find(texts: pd.Series) -> pd.Series:
-        pattern = re.compile(NUMBER, re.I)
+        pattern = re.compile(PLAIN_NUMBER, re.I | re.A) if plain else re.compile(NUMBER, re.I)
+        key, stripped = (float, PLAIN_SPACE) if plain else (repr, None)
 
         def of(body: str | None) -> list[dict] | None:
-            first: dict[tuple[str, str], dict] = {}
+            first: dict[tuple[str | float, str], dict] = {}
             for m in pattern.finditer(body or ""):
                 value, unit = float(m[1].replace(",", "")), m[2] or ""
-                if (repr(value), unit) not in first:
-                    first[repr(value), unit] = {"value": value, "unit": unit, "context_span": body[max(0, m.start() - around) : m.end() + around].strip()}
+                if (key(value), unit) not in first:
+                    first[key(value), unit] = {"value": value, "unit": unit, "context_span": body[max(0, m.start() - around) : m.end() + around].strip(stripped)}
             return None if body is None else list(first.values())
 
         return texts.map(of)
