@@ -1,9 +1,13 @@
 """HTML elements, listings, live pages with a local server, settings and the whole run with recorded answers."""
 
 import json
+import re
 import threading
+from contextlib import suppress
 from http.server import BaseHTTPRequestHandler, HTTPServer
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +178,30 @@ def test_number_contexts_and_windows(spark):
     assert one(lambda c: t.context_window(c, F.lit("ecb")), long) == "a" * 800
     assert one(lambda c: t.rendered("{x:.2f} {x:.1%}", x=c.cast("double")), "0.125") == "0.12 12.5%"
     assert one(lambda c: t.rendered("{x:.2f}", x=c.cast("double")), "2.675") == "2.67"
+
+
+LINKED = "<title>t</title>" + "".join(f"<p><a href='/{i}' rel=x>link {i}</a>" for i in range(40))
+
+
+def test_elements_come_in_parts_of_bounded_size():
+    pages, tags = [LINKED, None, "", "<a>" + "x" * 3_000_000, LINKED] * 20, frozenset("a")
+    got = list(html.parts(iter([pa.array(pages), pa.array([], pa.string()), pa.array([LINKED])]), tags))
+    assert [dict(e, attrs=dict(e["attrs"])) for part in got for page in part.to_pylist() for e in page] == [e for page in [*pages, LINKED] for e in html.parsed(page, tags)]
+    assert len(got) == 22 and max(part.nbytes for part in got) < html.PART_BYTES + 12_000_000  # the largest page's four texts
+
+
+def test_a_worker_does_not_hold_a_batch_of_elements(spark):
+    def workers(what):
+        for p in Path("/proc").glob("[0-9]*"):
+            with suppress(OSError):  # it may end meanwhile
+                if b"pyspark.daemon" in (p / "cmdline").read_bytes():
+                    yield p, int(re.search(rf"{what}:\s+(\d+)", (p / "status").read_text())[1]) // 1024
+
+    pages = spark.range(0, 10_000, 1, 1).select(F.col("id").alias("page_id"), F.concat(F.lit(LINKED), F.col("id")).alias("html"))
+    before = dict(workers("VmRSS"))
+    for p in before:
+        with suppress(OSError):
+            (p / "clear_refs").write_text("5")  # the peak starts anew
+    assert html.elements(pages, tags=("a",)).agg(F.sum(F.size("elements"))).first()[0] == 10_000 * 81
+    grown = [peak - before.get(p, 0) for p, peak in workers("VmHWM")]
+    assert grown and max(grown) < 400, grown  # MB; 991 when a batch was held whole
